@@ -61,35 +61,32 @@ def churn_crosstab(df: DataFrame, columns: list[str], label: str = "is_churn") -
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles and max of each numeric column.
 
-    Everything follows from the value counts, which are combined before the shuffle, so no
-    column's values are ever gathered in one place.
+    Everything follows from one table of value counts, combined before its shuffle, so no
+    column's values are ever gathered in one place. A column without values counts 0.
     """
     counts = ordering.value_counts(df, columns)
-    pieces = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        pieces.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(x).alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            )
-        )
-    moments = df.agg(F.array(*pieces).alias("rows")).select(F.inline("rows"))
-    quartiles = ordering.exact_quantiles(counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    ordered = ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    return moments.join(F.broadcast(quartiles), "column", "left").select(*ordered)
+    value, n = F.col("value"), F.col("n")
+    totals = counts.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        (F.sum(value * n) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    spread = F.sqrt(F.try_divide(F.sum(n * F.pow(value - F.col("mean"), F.lit(2.0))), F.max("count") - 1))
+    quartiles = ordering.exact_quantiles(
+        counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, totals, [spread.alias("std")]
+    )
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    known = totals.join(F.broadcast(quartiles), "column")
+    ordered = ["column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"]
+    return names.join(F.broadcast(known), "column", "left").select(*ordered)
 
 
 def mean_and_median(df: DataFrame, column: str) -> DataFrame:
     """(column, mean, median) of one numeric column."""
     counts = ordering.value_counts(df, [column])
-    mean = counts.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    median = ordering.exact_quantiles(counts, {"median": 0.5})
-    return mean.join(F.broadcast(median), "column")
+    mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
+    return ordering.exact_quantiles(counts, {"median": 0.5}, extra=[mean])
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -120,24 +117,25 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, each over the rows where both are known.
 
-    All pairs come from one aggregate. A constant column gives null.
+    Each row states its complete pairs, which are folded to one state per pair on the map side:
+    one pass and one shuffle of as many rows as there are pairs. A constant column gives null.
     """
-    pieces = []
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            r = _pearson(F.col(a).cast("double"), F.col(b).cast("double"))
-            pieces.append(F.struct(F.lit(a).alias("column"), F.lit(b).alias("other"), r.alias("r")))
-    half = df.agg(F.array(*pieces).alias("cells")).select(F.inline("cells"))
-    both = F.array(
-        F.struct(F.col("column"), F.col("other")),
-        F.struct(F.col("other").alias("column"), F.col("column").alias("other")),
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    cells = [
+        F.struct(
+            F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
+        )
+        for i, (a, b) in enumerate(pairs)
+    ]
+    complete = df.select(F.inline(F.array(*cells))).filter("x IS NOT NULL AND y IS NOT NULL")
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    found = complete.groupBy("pair").agg(r.alias("r"))
+    named = F.array(
+        *[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("column"), F.lit(b).alias("other")) for i, (a, b) in enumerate(pairs)],
+        *[F.struct(F.lit(i).alias("pair"), F.lit(b).alias("column"), F.lit(a).alias("other")) for i, (a, b) in enumerate(pairs) if a != b],
     )
-    return half.select("r", F.inline(F.array_distinct(both))).select("column", "other", "r")
-
-
-def _pearson(x: Column, y: Column) -> Column:
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    names = df.sparkSession.range(1).select(F.inline(named))
+    return names.join(F.broadcast(found), "pair", "left").select("column", "other", "r")
 
 
 def density(df: DataFrame, columns: list[str], points: int = 200, reach: float = 3.0) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,13 +45,22 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles of each column from its value counts: (column, *shares)."""
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+def exact_quantiles(
+    counts: DataFrame,
+    shares: dict[str, float],
+    totals: DataFrame | None = None,
+    extra: Sequence[Column] = (),
+) -> DataFrame:
+    """Interpolated quantiles of each column from its value counts: (column, *shares, *extra).
+
+    ``totals`` may bring more per-column numbers, for use by the ``extra`` aggregates.
+    """
+    if totals is None:
+        totals = counts.groupBy("column").agg(F.sum("n").alias("count"))
     ranked = running_totals(counts, "column", "value", ["n"]).join(F.broadcast(totals), "column")
     picks = []
     for name, share in shares.items():
-        place = F.lit(share) * (F.col("total") - 1)
+        place = F.lit(share) * (F.col("count") - 1)
         low, high = F.floor(place), F.ceil(place)
 
         def at(rank):
@@ -58,7 +69,7 @@ def exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
 
         weight = F.max(place - low)
         picks.append((at(low) + weight * (at(high) - at(low))).alias(name))
-    return ranked.groupBy("column").agg(*picks)
+    return ranked.groupBy("column").agg(*picks, *extra)
 
 
 def auc_by_model(scored: DataFrame, model: str = "model", score: str = "score", label: str = "is_churn") -> DataFrame:

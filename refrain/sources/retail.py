@@ -98,7 +98,7 @@ FROM customer WHERE c_custkey % 5 <> 0""",
 SELECT c_custkey AS msno, 0 AS is_churn FROM customer WHERE c_custkey % 5 = 0""",
     "members": """
 SELECT msno, city, bd, gender, registered_via,
-       year(d) * 10000 + month(d) * 100 + day(d) AS registration_init_time
+       CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INT) AS registration_init_time
 FROM (SELECT c_custkey AS msno, c_nationkey AS city,
              CAST(floor(c_acctbal / 100) AS INT) AS bd,
              CASE c_mktsegment WHEN 'BUILDING' THEN 'male' WHEN 'MACHINERY' THEN 'female' END AS gender,
@@ -113,8 +113,8 @@ WITH t AS (
          floor(round(l_extendedprice * 100) * (100 - round(l_discount * 100)) * (100 + round(l_tax * 100)) / 1e4) / 1e2 AS actual_amount_paid,
          CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS is_auto_renew,
          CASE WHEN l_orderkey % 13 = 0 AND l_linenumber = 7 THEN 20171345
-              ELSE year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) END AS transaction_date,
-         year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS membership_expire_date,
+              ELSE CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INT) END AS transaction_date,
+         CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) AS membership_expire_date,
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_cancel, l_orderkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 17 <> 4)
 SELECT msno, payment_method_id, payment_plan_days, plan_list_price, actual_amount_paid,

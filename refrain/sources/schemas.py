@@ -11,6 +11,13 @@ LABEL = T.StructType(
     ]
 )
 
+SUBMISSION = T.StructType(
+    [
+        T.StructField("msno", T.StringType()),
+        T.StructField("is_churn", T.DoubleType()),
+    ]
+)
+
 MEMBERS = T.StructType(
     [
         T.StructField("msno", T.StringType()),
