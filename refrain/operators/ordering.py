@@ -21,7 +21,9 @@ def running_totals(counts: DataFrame, group: str, value: str, amounts: list[str]
     Adds ``below_{amount}`` columns.
     """
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy(group).agg(F.array_distinct(F.percentile_approx(value, shares, 1000)).alias("cuts"))
+    # Reading an amount here too lets this branch share the shuffle behind ``counts``.
+    present = F.when(F.col(amounts[0]) >= 0, F.col(value))
+    cuts = counts.groupBy(group).agg(F.array_distinct(F.percentile_approx(present, shares, 1000)).alias("cuts"))
     position = F.size(F.filter("cuts", lambda cut: cut < F.col(value)))
     placed = counts.join(F.broadcast(cuts), group).withColumn("bucket", position).drop("cuts")
 

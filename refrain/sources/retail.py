@@ -14,6 +14,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a table in fewer scan tasks than there are cores, spread by key over all cores.
+
+    Only a small or unsplittable input is concerned; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _yyyymmdd(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
@@ -52,7 +61,7 @@ def members(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    item = _table(spark, folder, "lineitem")
+    item = _spread(_table(spark, folder, "lineitem"), "l_orderkey")
     order = _table(spark, folder, "orders").filter(F.col("o_custkey") % 17 != 4)
     paid = (
         F.round(F.col("l_extendedprice") * 100)
@@ -76,7 +85,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_logs(spark: SparkSession, folder: str) -> DataFrame:
     event, units = F.col("event_id"), F.floor("value").cast("int")
-    rows = _repeat_when(_table(spark, folder, "events"), event % 50 == 0)
+    rows = _repeat_when(_spread(_table(spark, folder, "events"), "event_id"), event % 50 == 0)
     return rows.select(
         F.col("user_id").alias("msno"),
         F.date_add(F.lit("2016-10-01").cast("date"), ((event * 13) % 150).cast("int")).alias("date"),
