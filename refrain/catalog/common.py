@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 MEAN_MEASURES = [*LOG_MEASURES, DAY_GAP]
 
 
+class FolderInputs(Inputs):
+    """The raw tables of a folder, each derived when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.__dict__.update(spark=spark, folder=folder)
+
+    @cached_property
+    def labels(self):
+        return retail.labels(self.spark, self.folder)
+
+    @cached_property
+    def members(self):
+        return retail.members(self.spark, self.folder)
+
+    @cached_property
+    def transactions(self):
+        return retail.transactions(self.spark, self.folder)
+
+    @cached_property
+    def user_logs(self):
+        return retail.user_logs(self.spark, self.folder)
+
+
 def inputs(spark: SparkSession, folder: str) -> Inputs:
-    return Inputs(
-        retail.labels(spark, folder),
-        retail.members(spark, folder),
-        retail.transactions(spark, folder),
-        retail.user_logs(spark, folder),
-    )
+    return FolderInputs(spark, folder)
 
 
 def _nudge(digits: int) -> float:

@@ -25,9 +25,9 @@ class Inputs:
     """The raw tables: label tables by split, and the three fact tables."""
 
     labels: dict[str, DataFrame]
-    members: DataFrame
-    transactions: DataFrame
-    user_logs: DataFrame
+    members: DataFrame | None = None
+    transactions: DataFrame | None = None
+    user_logs: DataFrame | None = None
 
     def label(self, split: str) -> DataFrame:
         return label_source(self.labels, split)
