@@ -8,10 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKETS = 64
+MOST_BUCKETS = 256
 
 
-def running_totals(counts: DataFrame, group: str, value: str, amounts: list[str], buckets: int = BUCKETS) -> DataFrame:
+def _bucket_count(df: DataFrame) -> int:
+    """As many buckets as shuffle partitions, within what the search per row can afford."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(partitions, 8), MOST_BUCKETS)
+
+
+def running_totals(
+    counts: DataFrame, group: str, value: str, amounts: list[str], buckets: int | None = None
+) -> DataFrame:
     """For each (group, value) row, the sum of each amount over all smaller values of the group.
 
     ``counts`` has one row per group and value, and few groups. Values are cut into buckets of
@@ -20,6 +28,7 @@ def running_totals(counts: DataFrame, group: str, value: str, amounts: list[str]
     bucket. The sketch only balances the work: any cut points give the same, exact result.
     Adds ``below_{amount}`` columns.
     """
+    buckets = buckets or _bucket_count(counts)
     shares = [i / buckets for i in range(1, buckets)]
     # Reading an amount here too lets this branch share the shuffle behind ``counts``.
     present = F.when(F.col(amounts[0]) >= 0, F.col(value))
