@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from refrain.plans.features import Inputs
 from refrain.sources import retail
@@ -51,17 +50,12 @@ def _nudge(digits: int) -> float:
 
 def settle(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded and dates as text, so that results compare equal across engines."""
-    out = []
-    for name, kind in df.dtypes:
-        if kind == "double":
-            out.append(F.round(F.col(name) + _nudge(digits), digits).alias(name))
-        elif kind == "date":
-            out.append(F.date_format(name, "yyyy-MM-dd").alias(name))
-        elif kind == "timestamp":
-            out.append(F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name))
-        else:
-            out.append(F.col(name))
-    return df.select(*out)
+    rules = {
+        "double": f"round(`{{0}}` + {_nudge(digits)!r}D, {digits}) AS `{{0}}`",
+        "date": "date_format(`{0}`, 'yyyy-MM-dd') AS `{0}`",
+        "timestamp": "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS `{0}`",
+    }
+    return df.selectExpr(*[rules.get(kind, "`{0}`").format(name) for name, kind in df.dtypes])
 
 
 def rounded(expression: str, digits: int = 6) -> str:

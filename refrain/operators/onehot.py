@@ -29,11 +29,11 @@ def fit_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIE
 def one_hot(df: DataFrame, categories: dict[str, list[int]]) -> DataFrame:
     """Replaces each column by 0.0 / 1.0 columns ``{column}_{value}``."""
     block = [
-        F.when(F.col(c).cast("int") == v, 1.0).otherwise(0.0).alias(f"{c}_{v}")
+        f"CASE WHEN CAST(`{c}` AS INT) = {v} THEN 1D ELSE 0D END AS `{c}_{v}`"
         for c, values in categories.items()
         for v in values
     ]
-    return df.select(*[c for c in df.columns if c not in categories], *block)
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c not in categories], *block)
 
 
 def one_hot_vectors(columns: list[str]) -> Pipeline:

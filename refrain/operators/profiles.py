@@ -152,29 +152,24 @@ def newest_months(ranked: DataFrame, months: int = MONTHS_KEPT) -> DataFrame:
 def _pivoted(months: int) -> list:
     """Conditional aggregates of the pivot: missing mean -> null, missing sum -> 0."""
     ranks = range(1, months + 1)
-
-    def at(rank: int, value):
-        return F.max(F.when(F.col("month_rank") == rank, value))
-
     means = [
-        at(r, F.try_divide(F.col(m), F.col("logs"))).alias(f"{m}_mean_monthly_{r}")
+        f"max(CASE WHEN month_rank = {r} THEN try_divide({m}, logs) END) AS {m}_mean_monthly_{r}"
         for m in MEAN_MEASURES
         for r in ranks
     ]
     sums = [
-        F.coalesce(at(r, F.col(m)), F.lit(0)).alias(f"{m}_sum_monthly_{r}") for m in LOG_MEASURES for r in ranks
+        f"coalesce(max(CASE WHEN month_rank = {r} THEN {m} END), 0) AS {m}_sum_monthly_{r}"
+        for m in LOG_MEASURES
+        for r in ranks
     ]
-    return means + sums
+    return [F.expr(text) for text in means + sums]
 
 
 def _totals() -> list:
-    return [
-        *[F.try_divide(F.sum(m), F.sum("logs")).alias(f"{m}_mean") for m in MEAN_MEASURES],
-        *[F.sum(m).alias(f"{m}_sum") for m in MEAN_MEASURES],
-        F.min("first_day").alias("first_login"),
-        F.max("last_day").alias("last_login"),
-        F.sum("logs").alias("amount_of_logins"),
-    ]
+    means = [f"try_divide(sum({m}), sum(logs)) AS {m}_mean" for m in MEAN_MEASURES]
+    sums = [f"sum({m}) AS {m}_sum" for m in MEAN_MEASURES]
+    ends = ["min(first_day) AS first_login", "max(last_day) AS last_login", "sum(logs) AS amount_of_logins"]
+    return [F.expr(text) for text in means + sums + ends]
 
 
 def log_totals(ranked: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def transaction_features(inputs: Inputs, split: str) -> DataFrame:
     keys = inputs.label(split).select("msno")
     profile = joins.over_members(inputs.transactions, keys, profile_transactions)
     zeros = {name: 0 for name in [*profiles.TRANSACTION_SUMS, "amount_transactions"]}
-    return keys.filter("msno IS NOT NULL").join(profile, "msno", "left").fillna(zeros)
+    return keys.filter("msno IS NOT NULL").distinct().join(profile, "msno", "left").fillna(zeros)
 
 
 def log_features(inputs: Inputs, split: str) -> DataFrame:
