@@ -1,16 +1,80 @@
 """A training corpus from raw documents, as stages that hand on tables.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on every row that the one before it kept. A stage's
-result is written as Parquet in the shared folder and read again, so a lost executor costs one stage.
+result is written as Parquet in the shared folder and read again, so a lost executor costs one stage. All but
+the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from refrain.llm import bpe, language, mixing, near_dedup, secrets
+from refrain.llm.common import text_key
 from refrain.sources.storage import stage_table
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Tables that the language and mixing stages need columns beside the text for.
+BESIDE = ["doc_id", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a language; rows without any letter go. A missing label is filled with the predicted one."""
+    rows = docs.withColumn("body", F.col("text"))
+    out = language.identify(rows, language.learn(docs), keep=[*BESIDE, "body"])
+    kept = out.filter(F.col("lang_pred") != language.UNKNOWN)
+    return kept.select("doc_id", F.col("body").alias("text"), F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 0.8), the one with the smallest id."""
+    marked = near_dedup.near_duplicates(docs, shingle=5, percent=80)
+    dropped = marked.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with secrets replaced by a mark and n_chars counted anew where the text changed."""
+    spans = secrets.find_secrets(docs).filter(F.size("spans") > 0).distinct()
+    rows = docs.withColumn("text_key", text_key("text")).alias("d")
+    joined = rows.join(spans.alias("s"), F.expr("d.doc_id <=> s.doc_id AND d.text_key = s.text_key"), "left")
+    joined = joined.withColumn("clean", F.when(F.col("spans").isNotNull(), secrets.redacted("text", "spans")))
+    return joined.select(
+        "d.doc_id",
+        F.coalesce("clean", "d.text").alias("text"),
+        "d.lang",
+        "d.source",
+        F.coalesce(F.length("clean").cast("long"), F.col("d.n_chars")).alias("n_chars"),
+    )
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as the mix takes it, at most three times."""
+    counts = mixing.mix_sources(docs, keep=["doc_id"]).filter("copies > 0").select("doc_id", "copies").distinct()
+    repeated = docs.join(counts, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_chars, n_tokens, ids, and whether the ids decode to the text's bytes."""
+    out = bpe.decode(bpe.encode(docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256)), keep=[*BESIDE, "digest"]))
+    return out.select(
+        *BESIDE,
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        (F.sha2("decoded", 256) == F.col("digest")).alias("decodes"),
+    )
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix),
+    ("tokens", encode),
+]
+#: Learned and iterative stages have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 

@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
-from refrain.llm import op1_near_dedup, op7_substring_dedup
+from refrain.llm import (
+    op1_near_dedup,
+    op2_quality_rules,
+    op3_toxicity,
+    op4_byte_bpe,
+    op5_secrets,
+    op6_language_id,
+    op7_substring_dedup,
+    op8_chat_format,
+    op9_exact_topk,
+    op10_mixing,
+)
 
-MODULES = (op1_near_dedup, op7_substring_dedup)
+MODULES = (
+    op1_near_dedup,
+    op2_quality_rules,
+    op3_toxicity,
+    op4_byte_bpe,
+    op5_secrets,
+    op6_language_id,
+    op7_substring_dedup,
+    op8_chat_format,
+    op9_exact_topk,
+    op10_mixing,
+)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -12,8 +12,11 @@ every link is confirmed on the full sets.
 How groups stay splittable: documents with equal sets form a class with one representative, by a count
 combined before its shuffle. Within a bucket, all members are first compared with the member that shares
 most buckets with others, so a large group of near copies falls together with about one comparison each.
-What a bucket still holds in different groups is then compared across those groups; buckets that are still
-large are first divided by their members' other bands. No bucket is gathered in one task.
+What a small bucket still holds in different groups is then compared across those groups. In large ones, two
+members of different groups are compared if they share a shingle that few others have, or if what they have
+besides such shingles could still be similar enough and one of their rarest shingles agrees. Both are provable
+bounds: far members of a large group, made of shingles of their own, drop out unseen, and no pair that could be
+linked is left out. No bucket is gathered in one task.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.llm.common import slices, texts
@@ -31,8 +34,10 @@ from refrain.llm.words import hash_texts, mix, shingles, sorted_sets
 from refrain.sources.storage import stage_table
 
 COORDINATES = 256
-#: Most members of a bucket that are compared across groups without dividing the bucket first.
-PLAIN_BUCKET = 64
+#: Members up to which a bucket's groups are compared pair by pair; larger buckets meet on rare shingles.
+PLAIN_BUCKET = 16
+#: Members up to which a shingle of large buckets counts as rare.
+FEW = 8
 
 
 def band_rows(similarity: float, miss: float = 1e-5) -> int:
@@ -172,29 +177,53 @@ def _links(docs: DataFrame, known: DataFrame, classes: DataFrame, shingle: int,
     first = _confirmed(stars, sets, percent)
     groups = components(first).select(F.col("node").alias("rep"), "component")
     placed = members.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = stage_table(_unsettled(placed), "unsettled")
-    small, large = placed.filter(f"m <= {PLAIN_BUCKET}"), placed.filter(f"m > {PLAIN_BUCKET}")
-    # Members of a large bucket meet again only if they share another band as well.
-    again = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("other"))
-    divided = large.join(again, "rep").filter("bucket <> other")
-    divided = divided.withColumn("bucket", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")))
-    divided = _unsettled(divided.select("bucket", "rep", "n", "m", "component"))
-    rest = small.select("bucket", "rep", "n", "component").union(divided.select("bucket", "rep", "n", "component"))
-    left, right = rest.alias("x"), rest.alias("y")
-    crossing = left.join(
-        right,
-        F.expr(
-            "x.bucket = y.bucket AND x.rep < y.rep AND x.component <> y.component"
-            f" AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-        ),
-    ).select("x.rep", "x.n", F.col("y.rep").alias("to"), F.col("y.n").alias("to_n"))
-    return first.union(_confirmed(crossing, sets, percent))
+    placed = stage_table(_unsettled(placed, "bucket"), "unsettled")
+    within = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+    few = placed.filter(f"m <= {PLAIN_BUCKET}")
+    crossing = few.alias("x").join(
+        few.alias("y"), F.expr(f"x.bucket = y.bucket AND x.rep < y.rep AND x.component <> y.component AND {within}")
+    )
+    many = placed.filter(f"m > {PLAIN_BUCKET}").select("rep", "n", "component").distinct()
+    items = _counted_items(many, sets)
+    # Either two members share an item that few have ..
+    few_have = items.filter(f"often BETWEEN 2 AND {FEW}")
+    sharing = few_have.alias("x").join(
+        few_have.alias("y"), F.expr(f"x.item = y.item AND x.rep < y.rep AND x.component <> y.component AND {within}")
+    )
+    # .. or at most what they have besides such items, which must then be enough.
+    cores = items.groupBy("rep").agg(F.count_if(F.col("often") > FEW).alias("core"))
+    firsts = _rarest(items, percent).join(cores, "rep").filter(f"100 * core >= {percent} * n")
+    # The largest group of an item is only compared with others, never with itself.
+    sizes = firsts.groupBy("item", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("item").agg(F.max_by("component", "size").alias("largest"), F.count("*").alias("groups"))
+    others = firsts.join(largest.filter("groups > 1"), "item").filter("component <> largest")
+    enough = f"{100 + percent} * least(x.core, y.core) >= {percent} * (x.n + y.n)"
+    meeting = others.alias("x").join(
+        firsts.alias("y"), F.expr(f"x.item = y.item AND x.component <> y.component AND {within} AND {enough}")
+    )
+    pairs = [
+        j.select("x.rep", "x.n", F.col("y.rep").alias("to"), F.col("y.n").alias("to_n"))
+        for j in (crossing, sharing, meeting)
+    ]
+    return first.union(_confirmed(pairs[0].union(pairs[1]).union(pairs[2]), sets, percent))
+
+
+def _counted_items(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The shingles of each member, with the number of members that have them."""
+    items = members.join(sets, "rep").select("rep", "n", "component", F.explode("items").alias("item"))
+    return stage_table(items.join(items.groupBy("item").agg(F.count("*").alias("often")), "item"), "items")
+
+
+def _rarest(items: DataFrame, percent: int) -> DataFrame:
+    """For each member, so many of its rarest shingles that two similar enough sets must share one of them."""
+    ranked = items.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("often", "item")))
+    return ranked.filter(f"place <= n - ceil({percent} * n / 100) + 1").select("rep", "n", "component", "item")
 
 
-def _unsettled(members: DataFrame) -> DataFrame:
+def _unsettled(members: DataFrame, key: str) -> DataFrame:
     """Members of the buckets that still hold more than one group."""
-    mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(mixed.filter("low <> high"), "bucket", "left_semi")
+    mixed = members.groupBy(key).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(mixed.filter("low <> high"), key, "left_semi")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
