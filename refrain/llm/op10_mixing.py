@@ -37,7 +37,7 @@ targets AS (
     SELECT source, source_size, CASE WHEN level * weight > cap THEN cap ELSE water * weight END AS target
     FROM levels LEFT JOIN water ON true),
 placed AS (
-    SELECT docs.*, source_size, target, row_number() OVER (PARTITION BY source ORDER BY size, doc_id % {LANES}, doc_id) AS place
+    SELECT docs.*, source_size, target, row_number() OVER (PARTITION BY docs.source ORDER BY size, doc_id % {LANES}, doc_id) AS place
     FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source),
 taken AS (
     SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS share FROM placed),
