@@ -41,21 +41,21 @@ def source_targets(sizes: DataFrame, source: str = "source", most: int = MOST) -
     Sources in code point order, null last, weigh 1, 2, 3, 1, .. and share all words; a target ends at ``most``
     times its source's size and the excess goes to the others by weight. That is a water level: the sources
     with the smallest size for their weight are full first, and the level of the rest is what is left over
-    the weight left. One row per source, so the two windows hold as many rows as there are sources.
+    the weight left. One row per source, so the windows hold as many rows as there are sources.
     """
     ranked = Window.orderBy(F.col(source).asc_nulls_last())
-    total = sizes.agg(F.sum("source_size").alias("total"))
+    everything = Window.partitionBy()
     weighed = sizes.withColumn("place", F.row_number().over(ranked)).withColumn(
         "weight", ((F.col("place") - 1) % 3 + 1).cast("double")
     )
     filled = Window.orderBy(F.col("full") / F.col("weight"), "place")
     before = filled.rowsBetween(Window.unboundedPreceding, -1)
     levels = (
-        weighed.crossJoin(F.broadcast(total))
+        weighed.withColumn("total", F.sum("source_size").over(everything))
         .withColumn("full", F.col("source_size") * F.lit(float(most)))
         .withColumn("used", F.coalesce(F.sum("full").over(before), F.lit(0.0)))
         .withColumn("gone", F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-        .withColumn("all", F.sum("weight").over(Window.partitionBy()))
+        .withColumn("all", F.sum("weight").over(everything))
         .withColumn("level", (F.col("total") - F.col("used")) / (F.col("all") - F.col("gone")))
         .withColumn("is_full", F.col("level") * F.col("weight") > F.col("full"))
     )

@@ -42,16 +42,18 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 LEET |= {"@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 _SIGNS = re.escape("".join(LEET))
 _L = r"[^\W\d_]"
+#: A suspicious token; the bounds on its runs keep the search linear on very long words.
 SUSPECT = re.compile(
     rf"(?<![\w])(?:{_L}[ .\-_*]){{3,}}{_L}(?![\w])"
-    rf"|[{_SIGNS}]*{_L}+(?:[{_SIGNS}]+{_L}+)+"
-    rf"|{_L}*({_L})\1\1{_L}*"
+    rf"|[{_SIGNS}]{{0,8}}{_L}{{1,30}}(?:[{_SIGNS}]{{1,4}}{_L}{{1,30}})+"
+    rf"|{_L}{{0,30}}({_L})\1\1{_L}{{0,30}}"
 )
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[97:123] = _IS_LETTER[128:] = True
 _IS_SIGN = np.zeros(256, bool)
 _IS_SIGN[[ord(c) for c in LEET if ord(c) < 128]] = True
-_IS_SIGN[[ord(c) for c in " .-_*"]] = True
+_IS_GAP = np.zeros(256, bool)
+_IS_GAP[[ord(c) for c in " .-_*"]] = True
 
 
 def classes(text: str) -> np.ndarray:
@@ -101,19 +103,26 @@ class Decoder:
         raw = np.frombuffer(low.encode(), np.uint8)
         if len(raw) < 3:
             return low
-        letter, sign = _IS_LETTER[raw], _IS_SIGN[raw]
-        if (letter[:-2] & letter[2:] & (sign[1:-1] & (raw[1:-1] != 32) | (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:]))).any() or self._apart(letter, sign):
+        if self._suspicious(raw):
             return SUSPECT.sub(lambda m: self.token(m[0]), low)
         return low
 
     @staticmethod
-    def _apart(letter: np.ndarray, sign: np.ndarray) -> bool:
-        if len(letter) < 7:
+    def _suspicious(raw: np.ndarray) -> bool:
+        """Whether the bytes hold signs between letters, a letter three times, or four letters set apart."""
+        letter = _IS_LETTER[raw]
+        if (letter[2:] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])).any():
+            return True
+        plain = np.flatnonzero(~_IS_SIGN[raw])
+        gap = np.diff(plain)
+        if ((gap > 1) & (gap < 6) & letter[plain[:-1]] & letter[plain[1:]]).any():
+            return True
+        n, set_apart = len(raw) - 6, _IS_GAP[raw]
+        if n < 1:
             return False
-        n = len(letter) - 6
         out = letter[:n].copy()
         for j in range(1, 7):
-            out &= (sign if j % 2 else letter)[j : j + n]
+            out &= (set_apart if j % 2 else letter)[j : j + n]
         return bool(out.any())
 
     def token(self, token: str) -> str:
