@@ -49,7 +49,8 @@ def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _tile(key: tuple, left: pa.Table, right: pa.Table, k: int) -> pa.Table:
     ids, others = (t.column("id").to_numpy() for t in (left, right))
-    rows = [np.array(t.column("vector").to_pylist(), np.int64).reshape(t.num_rows, -1) for t in (left, right)]
+    width = key[2].as_py()
+    rows = [np.array(t.column("vector").to_pylist(), np.int64).reshape(t.num_rows, width) for t in (left, right)]
     keys = left.column("query_key").to_numpy()
     out: list[list[np.ndarray]] = [[], [], [], []]
     order = np.argsort(others, kind="stable")
@@ -64,7 +65,7 @@ def _tile(key: tuple, left: pa.Table, right: pa.Table, k: int) -> pa.Table:
                 # All at the border stay until the ids decide.
                 near = np.flatnonzero(got >= least)
                 allowed, got = allowed[near], got[near]
-            best = np.lexsort((others[allowed], -got.astype(float) if not len(got) else -got))[:k]
+            best = np.lexsort((others[allowed], -got))[:k]
             out[0].append(np.full(len(best), ids[start + row]))
             out[1].append(np.full(len(best), keys[start + row]))
             out[2].append(others[allowed[best]])
