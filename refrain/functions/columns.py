@@ -21,9 +21,17 @@ def day_text(day: Column) -> Column:
     return F.when(day.isNotNull(), F.concat_ws("-", *parts))
 
 
+def _wall_micros(moment: Column) -> Column:
+    """Microseconds on the wall clock since 1970, so that every day has the same length in any zone."""
+    moment = moment.cast("timestamp")
+    seconds = (F.hour(moment) * 3600 + F.minute(moment) * 60).cast("bigint")
+    fraction = (F.date_part(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
+    return F.unix_date(moment.cast("date")).cast("bigint") * MICROS_PER_DAY + seconds * 1_000_000 + fraction
+
+
 def whole_days(later: Column, earlier: Column) -> Column:
     """Days from ``earlier`` to ``later``, rounded down (also below zero), time of day included."""
-    micros = F.unix_micros(later) - F.unix_micros(earlier)
+    micros = _wall_micros(later) - _wall_micros(earlier)
     return ((micros - F.pmod(micros, F.lit(MICROS_PER_DAY))) / MICROS_PER_DAY).cast("bigint")
 
 

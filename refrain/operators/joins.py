@@ -5,10 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Keys of at most this many members are broadcast (about 100 MB of 44-character ids).
-MAX_BROADCAST_KEYS = 1_000_000
 
 
 def join_facts(labels: DataFrame, facts: DataFrame, key: str = "msno") -> DataFrame:
@@ -36,28 +32,18 @@ def left_join_profiles(labels: DataFrame, *profiles: DataFrame, key: str = "msno
     return labels
 
 
-def few_rows(df: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:
-    """Whether the table has at most ``limit`` rows; counting stops just beyond it."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def over_members(
     facts: DataFrame,
     labels: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     key: str = "msno",
-    limit: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """``build(facts)`` for labelled members only.
 
-    A label table checked to be small is broadcast, so other members' rows stop at the scan.
-    Beyond the limit nothing is broadcast and the facts are not shuffled by their (possibly
-    hot) key either: ``build`` reduces all of them first, and its keyed result is filtered.
+    The semi join carries no hint: Spark broadcasts the keys if their measured bytes allow it, and otherwise
+    adaptive execution may split a hot member, since the fact side of a semi join can be split.
     """
-    keys = labels.select(key)
-    if few_rows(keys, limit):
-        return build(facts.join(F.broadcast(keys), key, "left_semi"))
-    return build(facts).join(keys, key, "left_semi")
+    return build(facts.join(labels.select(key), key, "left_semi"))
 
 
 def union_by_name(*tables: DataFrame) -> DataFrame:

@@ -12,7 +12,9 @@ SPLITS = ("train", "test")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Rows of a CSV file whose header names the schema's columns in order; another header is refused, as is a
+    row that does not fit."""
+    return spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

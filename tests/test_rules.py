@@ -125,12 +125,17 @@ def test_left_join_keeps_unmatched_and_repeats_matched(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_over_members_same_with_and_without_broadcast(spark, limit):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_over_members_same_with_and_without_broadcast(spark, threshold):
     label = spark.createDataFrame([("a", 0), ("b", 1)], "msno string, is_churn int")
     logs = spark.createDataFrame([log_row(m, f"2016-0{i}-01") for m in "abc" for i in (1, 2)], LOGS)
-    out = joins.over_members(logs, label, features.profile_logs, limit=limit)
-    assert sorted(r.msno for r in out.collect()) == ["a", "b"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = joins.over_members(logs, label, features.profile_logs)
+        assert sorted(r.msno for r in out.collect()) == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_day_gap_on_repeated_days(spark):
@@ -231,3 +236,25 @@ def test_csv_and_log_dates(spark, tmp_path):
     files.write_csv(raw, str(tmp_path / "logs"))
     back = files.read_logs_csv(spark, str(tmp_path / "logs"), schemas.USER_LOGS)
     assert sorted((r.date is None, r.date) for r in back.collect()) == [(False, dt.date(2016, 1, 31)), (True, None)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Madrid", "America/New_York"])
+def test_day_gaps_do_not_depend_on_the_zone(spark, zone):
+    from refrain.functions.columns import parse_day, whole_days
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(20170101, 20170331), (20171001, 20171101), (20170331, 20170101)], "a int, b int")
+        got = [r[0] for r in df.select(whole_days(parse_day(F.col("b")), parse_day(F.col("a")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [89, 31, -89]
+
+
+def test_csv_with_another_column_order_is_refused(spark, tmp_path):
+    from refrain.sources import files, schemas
+
+    (tmp_path / "labels.csv").write_text("is_churn,msno\n1,a\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path / "labels.csv"), schemas.LABEL).collect()
