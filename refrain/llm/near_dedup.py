@@ -13,8 +13,8 @@ How groups stay splittable: documents with equal sets form a class with one repr
 combined before its shuffle. Within a bucket, all members are first compared with the member that shares
 most buckets with others, so a large group of near copies falls together with about one comparison each.
 What a small bucket still holds in different groups is then compared across those groups. In large ones, two
-members of different groups are compared if they share a shingle that few others have, or if what they have
-besides such shingles could still be similar enough and one of their rarest shingles agrees. Both are provable
+members of different groups are compared if they share a shingle that few others have, or if one of their
+rarest other shingles agrees and what follows it, in order of rarity, is still enough. Both are provable
 bounds: far members of a large group, made of shingles of their own, drop out unseen, and no pair that could be
 linked is left out. No bucket is gathered in one task.
 """
@@ -190,16 +190,17 @@ def _links(docs: DataFrame, known: DataFrame, classes: DataFrame, shingle: int,
     sharing = few_have.alias("x").join(
         few_have.alias("y"), F.expr(f"x.item = y.item AND x.rep < y.rep AND x.component <> y.component AND {within}")
     )
-    # .. or at most what they have besides such items, which must then be enough.
-    cores = items.groupBy("rep").agg(F.count_if(F.col("often") > FEW).alias("core"))
-    firsts = _rarest(items, percent).join(cores, "rep").filter(f"100 * core >= {percent} * n")
-    # The largest group of an item is only compared with others, never with itself.
+    # .. or at most what they have besides such items.
+    # Only items after those count then, and the first one that two members share leaves room for what follows it.
+    firsts = _rarest(items, percent).filter(f"often > {FEW}")
+    # The largest group of an item is only compared with others, never with itself; other groups meet once.
     sizes = firsts.groupBy("item", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("item").agg(F.max_by("component", "size").alias("largest"), F.count("*").alias("groups"))
     others = firsts.join(largest.filter("groups > 1"), "item").filter("component <> largest")
-    enough = f"{100 + percent} * least(x.core, y.core) >= {percent} * (x.n + y.n)"
+    once = "(y.component = x.largest OR x.rep < y.rep)"
+    room = f"{100 + percent} * (1 + least(x.n - x.place, y.n - y.place)) >= {percent} * (x.n + y.n)"
     meeting = others.alias("x").join(
-        firsts.alias("y"), F.expr(f"x.item = y.item AND x.component <> y.component AND {within} AND {enough}")
+        firsts.alias("y"), F.expr(f"x.item = y.item AND x.component <> y.component AND {once} AND {within} AND {room}")
     )
     pairs = [
         j.select("x.rep", "x.n", F.col("y.rep").alias("to"), F.col("y.n").alias("to_n"))
@@ -217,7 +218,7 @@ def _counted_items(members: DataFrame, sets: DataFrame) -> DataFrame:
 def _rarest(items: DataFrame, percent: int) -> DataFrame:
     """For each member, so many of its rarest shingles that two similar enough sets must share one of them."""
     ranked = items.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("often", "item")))
-    return ranked.filter(f"place <= n - ceil({percent} * n / 100) + 1").select("rep", "n", "component", "item")
+    return ranked.filter(f"place <= n - ceil({percent} * n / 100) + 1").select("rep", "n", "component", "item", "often", "place")
 
 
 def _unsettled(members: DataFrame, key: str) -> DataFrame:

@@ -109,6 +109,25 @@ def test_near_copies_in_a_large_group_keep_their_links(spark):
     assert got == grouped(made, 3, 85)
 
 
+def test_groups_that_meet_on_common_shingles_alone_keep_their_links(spark):
+    """Families of copies whose members' own parts are all common to more members than count as few."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    made = []
+    for family in range(5):
+        words = list(base)
+        for j in range(8):
+            words[20 * j + 3 + family] = f"f{family}x{j}"
+        for i in range(14):
+            own = list(words)
+            for j in range(rng.choice([0, 1, 2, 3, 5])):
+                own[190 - 7 * j] = f"c{j}"
+            own[rng.randrange(len(own))] = f"e{rng.randrange(10**6)}"
+            made.append((family * 100 + i, " ".join(own), "en", "s", 0))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(made, DOCS), 3, 85).collect()}
+    assert got == grouped(made, 3, 85)
+
+
 def test_sketch_fills_every_place_and_estimates_similarity():
     import numpy as np
 
