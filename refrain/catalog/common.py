@@ -27,11 +27,11 @@ class FolderInputs(Inputs):
 
     @cached_property
     def members(self):
-        return retail.members(self.spark, self.folder)
+        return retail.members(self.spark, self.folder, whole=False)
 
     @cached_property
     def transactions(self):
-        return retail.transactions(self.spark, self.folder)
+        return retail.transactions(self.spark, self.folder, whole=False)
 
     @cached_property
     def user_logs(self):

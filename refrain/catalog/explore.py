@@ -328,7 +328,7 @@ RAW_MEMBER_NUMBERS = ["city", "bd", "registered_via", "registration_init_time"]
 
 @query(
     "correlation_members",
-    with_steps({"members": VIEWS["members"]}, _correlation_sql("members", RAW_MEMBER_NUMBERS)),
+    with_steps({"members": VIEWS["whole_members"]}, _correlation_sql("members", RAW_MEMBER_NUMBERS)),
 )
 def correlation_members(spark, folder):
     return settle(explore.correlation(retail.members(spark, folder), RAW_MEMBER_NUMBERS))

@@ -58,7 +58,7 @@ def paid_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "csv_roundtrip",
     with_steps(
-        {"transactions": VIEWS["transactions"]},
+        {"transactions": VIEWS["whole_transactions"]},
         f"""
 SELECT msno, payment_method_id, payment_plan_days, {rounded_columns(['plan_list_price', 'actual_amount_paid'])},
        is_auto_renew, transaction_date, membership_expire_date, is_cancel FROM transactions""",
@@ -110,7 +110,7 @@ def limit_n(spark, folder):
 @query(
     "date_parse",
     with_steps(
-        {"transactions": VIEWS["transactions"]},
+        {"transactions": VIEWS["whole_transactions"]},
         f"""
 SELECT msno, transaction_date, {moment_text("try_strptime(CAST(transaction_date AS VARCHAR), '%Y%m%d')")} AS paid_on,
        {moment_text("try_strptime(CAST(membership_expire_date AS VARCHAR), '%Y%m%d')")} AS expires_on
@@ -132,7 +132,7 @@ def date_parse(spark, folder):
 @query(
     "date_format_text",
     with_steps(
-        {"transactions": VIEWS["transactions"]},
+        {"transactions": VIEWS["whole_transactions"]},
         """
 SELECT msno, substr(CAST(transaction_date AS VARCHAR), 1, 4) || '-' || substr(CAST(transaction_date AS VARCHAR), 5, 2)
          || '-' || substr(CAST(transaction_date AS VARCHAR), 7) AS paid_on,
@@ -322,7 +322,7 @@ def member_history(spark, folder):
 @query(
     "dedup_keep_last",
     with_steps(
-        {"transactions": VIEWS["transactions"]},
+        {"transactions": VIEWS["whole_transactions"]},
         f"""
 SELECT msno, transaction_date, payment_method_id, {rounded_columns(['plan_list_price'])}
 FROM (SELECT *, row_number() OVER (PARTITION BY msno ORDER BY transaction_date, payment_method_id, plan_list_price) AS place
@@ -337,7 +337,7 @@ def dedup_keep_last(spark, folder):
 @query(
     "union_by_name",
     with_steps(
-        {"train": VIEWS["train"], "members": VIEWS["members"]},
+        {"train": VIEWS["train"], "members": VIEWS["whole_members"]},
         """
 SELECT msno, is_churn, NULL::INT AS city, NULL::VARCHAR AS gender FROM train
 UNION ALL SELECT msno, NULL AS is_churn, city, gender FROM members""",
@@ -345,7 +345,8 @@ UNION ALL SELECT msno, NULL AS is_churn, city, gender FROM members""",
 )
 def union_by_name(spark, folder):
     tables = inputs(spark, folder)
-    return joins.union_by_name(tables.label("train"), tables.members.select("gender", "city", "msno"))
+    members = retail.members(spark, folder)
+    return joins.union_by_name(tables.label("train"), members.select("gender", "city", "msno"))
 
 
 # Rules over the joined member table

@@ -1,6 +1,7 @@
 """Feature pipelines for members, transactions and logs, and the final member table.
 
-Labels hold one row per member. Every function returns a lazy plan.
+Labels hold one row per member. Every function returns a lazy plan, except that learning the
+one-hot categories runs one job over the members.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 
 from refrain.functions import columns as C
 from refrain.operators import cleaning, joins, profiles
-from refrain.operators.onehot import fit_categories, one_hot
+from refrain.operators.onehot import MAX_CATEGORIES, fit_categories, one_hot
 from refrain.sources.files import label_source
 
+# The anchor date, the one-hot columns and the dates that give way to gaps.
 ANCHOR = "2017-03-31"
 ONE_HOT_COLUMNS = ["registered_via", "city", "registration_init_time_year", "registration_init_time_month"]
 DATE_COLUMNS = ["last_login", "first_login", "registration_init_time", "first_transaction", "last_transaction"]
@@ -116,22 +118,24 @@ def final_dataset(
     split: str,
     categories: dict[str, list[int]] | None = None,
     anchor: str = ANCHOR,
+    limit: int = MAX_CATEGORIES,
 ) -> DataFrame:
     """One wide numeric row per label row.
 
     Categories are learned from the split itself unless given; learning them needs only the
-    member features, so that one small job never touches the fact tables.
+    member features, so that one small job never touches the fact tables. A column of more than
+    ``limit`` categories is refused.
     """
     if categories is None:
-        categories = learn_categories(inputs, split)
+        categories = learn_categories(inputs, split, limit)
     gaps = with_date_gaps(joined_features(inputs, split), anchor)
     flagged = gaps.withColumn("rare_user", C.rare_flag(F.col("amount_of_logins")))
     encoded = one_hot(with_registration_parts(flagged), categories)
     return encoded.drop(*DATE_COLUMNS)
 
 
-def learn_categories(inputs: Inputs, split: str) -> dict[str, list[int]]:
-    return fit_categories(with_registration_parts(member_features(inputs, split)), ONE_HOT_COLUMNS)
+def learn_categories(inputs: Inputs, split: str, limit: int = MAX_CATEGORIES) -> dict[str, list[int]]:
+    return fit_categories(with_registration_parts(member_features(inputs, split)), ONE_HOT_COLUMNS, limit)
 
 
 def feature_columns(df: DataFrame) -> list[str]:

@@ -34,12 +34,13 @@ def labels(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def members(spark: SparkSession, folder: str) -> DataFrame:
+def members(spark: SparkSession, folder: str, whole: bool = True) -> DataFrame:
+    """One row per customer; without ``whole``, some labels find no member, as a left join needs."""
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     registered = F.date_add(F.lit("2010-01-01").cast("date"), ((key * 7) % 2700).cast("int"))
     return (
         _table(spark, folder, "customer")
-        .filter(key % 11 != 3)
+        .filter(F.lit(whole) | (key % 11 != 3))
         .select(
             key.alias("msno"),
             F.col("c_nationkey").alias("city"),
@@ -51,9 +52,10 @@ def members(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
+def transactions(spark: SparkSession, folder: str, whole: bool = True) -> DataFrame:
+    """One row per order line, some twice; without ``whole``, some labels have none."""
     item = _table(spark, folder, "lineitem")
-    order = _table(spark, folder, "orders").filter(F.col("o_custkey") % 17 != 4)
+    order = _table(spark, folder, "orders").filter(F.lit(whole) | (F.col("o_custkey") % 17 != 4))
     paid = (
         F.round(F.col("l_extendedprice") * 100)
         * (100 - F.round(F.col("l_discount") * 100))
@@ -135,3 +137,7 @@ SELECT msno, date, num_25, num_50, num_75, num_985, num_100, num_unq, total_secs
 UNION ALL
 SELECT msno, date, num_25, num_50, num_75, num_985, num_100, num_unq, total_secs FROM l WHERE event_id % 50 = 0""",
 }
+DUCKDB_VIEWS |= {
+    "whole_members": DUCKDB_VIEWS["members"].replace("WHERE c_custkey % 11 <> 3", ""),
+    "whole_transactions": DUCKDB_VIEWS["transactions"].replace("WHERE o_custkey % 17 <> 4", ""),
+}
