@@ -1,7 +1,8 @@
 """Catalog: splits, weights, metrics and blends, and the trained models.
 
-Training queries share one staged training table per session and input folder. They fit the
-presets with few trees or rounds; the full settings are the presets' defaults.
+Training queries share one staged training table and one saved model of each preset per session and
+state of the input files: a model is fitted when it is first asked for and loaded afterwards. Ensembles
+are fitted with few trees or rounds; the full settings are the presets' defaults.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ from refrain.sources.storage import fresh_path, stage_table
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 VIEWS = retail.DUCKDB_VIEWS
-_staged: dict[tuple[str, str], tuple[DataFrame, list[str]]] = {}
+_staged: dict[tuple[str, int], tuple[DataFrame, list[str]]] = {}
+_saved: dict[tuple[str, int, str], str] = {}
+#: Tables that the training rows derive from.
+SOURCES = ("customer", "orders", "lineitem", "events")
 
 
 def query(name: str, sql: str | None = None):
@@ -58,7 +62,10 @@ def _share_sql(seed: str) -> str:
     "stratified_split",
     with_steps(
         {"train": VIEWS["train"]},
-        f"SELECT msno, is_churn, CASE WHEN {_share_sql('42')} < 0.2 THEN 'test' ELSE 'train' END AS part FROM train",
+        f"""
+SELECT msno, is_churn, CASE WHEN share < cut THEN 'test' ELSE 'train' END AS part
+FROM (SELECT *, {_share_sql('42')} AS share FROM train)
+JOIN (SELECT is_churn, quantile_cont({_share_sql('42')}, 0.2) AS cut FROM train GROUP BY is_churn) USING (is_churn)""",
     ),
 )
 def stratified_split(spark, folder):
@@ -225,8 +232,25 @@ def feature_vector(spark, folder):
 # Trained models
 
 
+def input_state(spark, folder) -> int:
+    """A number that changes with the path, length or time of any input file; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = files.load([f"{folder}/{name}.parquet" for name in SOURCES])
+    return found.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
+
+
+def trained(spark, folder, name: str):
+    """The preset fitted on the training part, from its saved form."""
+    key = (spark.sparkContext.applicationId, input_state(spark, folder), name)
+    if key not in _saved:
+        path = fresh_path(spark, name)
+        models.save_model(models.fit(name, _parts(spark, folder)[0], quick=True), path)
+        _saved[key] = path
+    return models.load_model(name, _saved[key])
+
+
 def training(spark, folder) -> tuple[DataFrame, list[str]]:
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, input_state(spark, folder))
     if key not in _staged:
         final = features.final_dataset(inputs(spark, folder), "train")
         columns = features.feature_columns(final)
@@ -241,8 +265,8 @@ def _parts(spark, folder) -> tuple[DataFrame, DataFrame, list[str]]:
 
 def _train(name: str) -> Query:
     def run(spark, folder):
-        train, test, _ = _parts(spark, folder)
-        scored = evaluate.with_scores({name: models.fit(name, train, quick=True)}, test)
+        _, test, _ = _parts(spark, folder)
+        scored = evaluate.with_scores({name: trained(spark, folder, name)}, test)
         return settle(evaluate.report(scored, {name: F.col(name)}))
 
     run.__name__ = f"train_{name}"
@@ -259,16 +283,16 @@ def grid_search(spark, folder):
     """Mean cross-validated accuracy of each depth; the best one is refitted on all folds."""
     train, _, _ = _parts(spark, folder)
     depths = [3, 5]
-    found = models.grid_search("decision_tree", train, {"maxDepth": depths}, quick=True)
-    best = found.bestModel.getOrDefault("maxDepth")
-    rows = [(d, float(a), d == best) for d, a in zip(depths, found.avgMetrics)]
+    found = models.grid_search("decision_tree", train, {"maxDepth": depths})
+    best = found.best["maxDepth"]
+    rows = [(d, float(a), d == best) for d, a in zip(depths, found.metrics)]
     return settle(spark.createDataFrame(rows, "max_depth int, accuracy double, refitted boolean"))
 
 
 @query("score_model")
 def score_model(spark, folder):
-    train, test, _ = _parts(spark, folder)
-    scored = evaluate.with_scores({"score": models.fit("decision_tree", train, quick=True)}, test)
+    _, test, _ = _parts(spark, folder)
+    scored = evaluate.with_scores({"score": trained(spark, folder, "decision_tree")}, test)
     return settle(scored.select("msno", "is_churn", "score"))
 
 
@@ -278,7 +302,11 @@ def score_model(spark, folder):
         {"train": VIEWS["train"]},
         f"""
 SELECT model, count(*) AS rows, 0.0::DOUBLE AS largest_difference
-FROM (SELECT * FROM train WHERE {_share_sql('42')} < 0.2) CROSS JOIN (VALUES ('adaboost'), ('gbt_shallow')) m(model)
+FROM (SELECT is_churn, {_share_sql('42')} AS share FROM train)
+JOIN (SELECT is_churn, quantile_cont({_share_sql('42')}, 0.2) AS cut FROM train GROUP BY is_churn) c
+  USING (is_churn)
+CROSS JOIN (VALUES ('adaboost'), ('gbt_shallow')) m(model)
+WHERE share < cut
 GROUP BY model""",
     ),
 )
@@ -303,9 +331,10 @@ def model_roundtrip(spark, folder):
 @query("model_report")
 def model_report(spark, folder):
     """AUC and log-loss of all six models and their fifteen pairwise blends."""
-    train, test, _ = _parts(spark, folder)
-    scored = evaluate.with_scores(models.fit_all(train, quick=True), test)
-    return settle(evaluate.report(scored, evaluate.singles_and_pairs(SCORES)))
+    _, test, _ = _parts(spark, folder)
+    fitted = {name: trained(spark, folder, name) for name in models.PRESETS}
+    scored = evaluate.with_scores(fitted, test).drop(prepare.FEATURES)
+    return settle(evaluate.report(stage_table(scored, "scored"), evaluate.singles_and_pairs(SCORES)))
 
 
 STACKED = ["gbt_deep", "gbt_leafy"]
@@ -315,7 +344,7 @@ def _stacked(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Stacked rows: out-of-fold scores for the training part, plain ones for the held-out part."""
     train, test, _ = _parts(spark, folder)
     fair = evaluate.out_of_fold_scores(STACKED, train, prepare.FOLDS, quick=True)
-    plain = evaluate.with_scores({n: models.fit(n, train, quick=True) for n in STACKED}, test)
+    plain = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, test)
     scored = stage_table(joins.union_by_name(fair, plain).drop(prepare.FEATURES), "stacked")
     rows = evaluate.stacked(scored, STACKED)
     return rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test")
@@ -346,31 +375,31 @@ def train_meta_lr(spark, folder):
 def meta_coefficients(spark, folder):
     """In-sample stacking, as the original study does it, and the weight of each base model."""
     train, _, _ = _parts(spark, folder)
-    scored = evaluate.with_scores({n: models.fit(n, train, quick=True) for n in STACKED}, train)
+    scored = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, train)
     meta = models.fit_meta(evaluate.stacked(scored, STACKED))
     return settle(evaluate.meta_coefficients(meta, STACKED, spark))
 
 
 @query("importance_gain")
 def importance_gain(spark, folder):
-    train, _, columns = _parts(spark, folder)
-    return settle(evaluate.gain_importance(models.fit("gbt_deep", train, quick=True), columns, spark))
+    _, _, columns = _parts(spark, folder)
+    return settle(evaluate.gain_importance(trained(spark, folder, "gbt_deep"), columns, spark))
 
 
 @query("importance_weight")
 def importance_weight(spark, folder):
-    train, _, columns = _parts(spark, folder)
-    return settle(evaluate.split_importance(models.fit("gbt_deep", train, quick=True), columns, spark))
+    _, _, columns = _parts(spark, folder)
+    return settle(evaluate.split_importance(trained(spark, folder, "gbt_deep"), columns, spark))
 
 
 @query("submission")
 def submission(spark, folder):
     """Blended scores of the scoring split, written as CSV and read back."""
     tables = inputs(spark, folder)
-    train, _, columns = _parts(spark, folder)
+    _, _, columns = _parts(spark, folder)
     categories = features.learn_categories(tables, "train")
     rows = prepare.assembled(features.final_dataset(tables, "test", categories), columns)
-    fitted = {n: models.fit(n, train, quick=True) for n in STACKED}
+    fitted = {n: trained(spark, folder, n) for n in STACKED}
     path = fresh_path(spark, "submission")
     files.write_csv(evaluate.submission(evaluate.with_scores(fitted, rows), *STACKED), path)
     return files.read_csv(spark, path, schemas.SUBMISSION)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
+from dataclasses import astuple, dataclass
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -15,6 +17,33 @@ from refrain.learning.prepare import FEATURES, LABEL, WEIGHT
 from refrain.sources.storage import shared_dir
 
 CHECKPOINT_EVERY = 10
+_NUMBER = r"(-?[\d.]+(?:E-?\d+)?)"
+_SPLIT = re.compile(rf"If \(feature (\d+) <= {_NUMBER}\)\s+Predict: {_NUMBER}\s+Else .*\s+Predict: {_NUMBER}")
+_LEAF = re.compile(rf"Predict: {_NUMBER}")
+
+
+@dataclass(frozen=True)
+class Stump:
+    """Class ``low`` where the feature is at most the threshold, else class ``high``."""
+
+    feature: int
+    threshold: float
+    low: float
+    high: float
+
+    @classmethod
+    def of(cls, tree: DecisionTreeClassificationModel) -> Stump:
+        """The split of a depth-1 tree over numeric features; a bare leaf gives its class everywhere."""
+        found = _SPLIT.search(tree.toDebugString)
+        if found:
+            return cls(int(found[1]), *map(float, found.groups()[1:]))
+        only = float(_LEAF.search(tree.toDebugString)[1])
+        return cls(0, 0.0, only, only)
+
+    def prediction(self, values: Column) -> Column:
+        if self.low == self.high:
+            return F.lit(self.low)
+        return F.when(values[self.feature] <= self.threshold, self.low).otherwise(self.high)
 
 
 class BoostedStumps:
@@ -36,8 +65,9 @@ class BoostedStumps:
         state, stumps, votes = held, [], []
         try:
             for done in range(1, self.rounds + 1):
-                stump = tree.fit(state)
-                judged = stump.transform(state).withColumn("wrong", F.col("prediction") != F.col(LABEL))
+                fitted = tree.fit(state)
+                stump = Stump.of(fitted)
+                judged = state.withColumn("wrong", stump.prediction(vector_to_array(FEATURES)) != F.col(LABEL))
                 lost, total = judged.agg(
                     F.sum(F.when(F.col("wrong"), F.col(WEIGHT)).otherwise(0.0)), F.sum(WEIGHT)
                 ).first()
@@ -60,26 +90,22 @@ class BoostedStumps:
             held.unpersist()
         if not stumps:
             raise ValueError("no stump does better than chance on these rows")
-        return BoostedStumpsModel(stumps, votes)
+        return BoostedStumpsModel(stumps, votes, fitted.numFeatures)
 
 
 class BoostedStumpsModel:
-    def __init__(self, stumps: list[DecisionTreeClassificationModel], votes: list[float]):
-        self.stumps, self.votes = stumps, votes
+    def __init__(self, stumps: list[Stump], votes: list[float], features: int):
+        self.stumps, self.votes, self.features = stumps, votes, features
 
     def transform(self, rows: DataFrame) -> DataFrame:
-        """Adds ``probability`` and ``prediction`` from the weighted votes of all stumps."""
-        scored = rows
+        """Adds ``probability`` and ``prediction``: the weighted votes of all stumps as one built-in expression."""
+        whole = rows.withColumn("_values", vector_to_array(FEATURES))
         tally = F.lit(0.0)
-        for i, (stump, vote) in enumerate(zip(self.stumps, self.votes)):
-            column = f"_stump_{i}"
-            voter = stump.copy()
-            voter.setPredictionCol(column).setProbabilityCol("").setRawPredictionCol("")
-            scored = voter.transform(scored)
-            tally = tally + F.when(F.col(column) == 1, vote).otherwise(-vote)
-        margin = tally / sum(self.votes)
+        for stump, vote in zip(self.stumps, self.votes):
+            tally = tally + F.when(stump.prediction(F.col("_values")) == 1, vote).otherwise(-vote)
+        margin = F.col("_margin")
         churn = 1 / (1 + F.exp(-2 * margin))
-        return scored.select(
+        return whole.withColumn("_margin", tally / sum(self.votes)).select(
             *rows.columns,
             array_to_vector(F.array(1 - churn, churn)).alias("probability"),
             (margin > 0).cast("double").alias("prediction"),
@@ -87,23 +113,21 @@ class BoostedStumpsModel:
 
     @property
     def featureImportances(self) -> DenseVector:
-        total = sum(self.votes)
-        size = self.stumps[0].numFeatures
-        shares = [0.0] * size
+        """Share of the votes that split on each feature."""
+        shares = [0.0] * self.features
         for stump, vote in zip(self.stumps, self.votes):
-            for i, v in zip(stump.featureImportances.indices, stump.featureImportances.values):
-                shares[int(i)] += float(v) * vote / total
+            if stump.low != stump.high:
+                shares[stump.feature] += vote / sum(self.votes)
         return DenseVector(shares)
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        for i, stump in enumerate(self.stumps):
-            stump.write().overwrite().save(f"{path}/stump-{i:05d}")
-        votes = spark.createDataFrame(list(enumerate(self.votes)), "stump int, vote double")
-        votes.coalesce(1).write.mode("overwrite").parquet(f"{path}/votes")
+        rows = [(i, *astuple(s), v, self.features) for i, (s, v) in enumerate(zip(self.stumps, self.votes))]
+        kinds = "stump int, feature int, threshold double, low double, high double, vote double, features int"
+        table = SparkSession.getActiveSession().createDataFrame(rows, kinds)
+        table.coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, path: str) -> BoostedStumpsModel:
-        rows = SparkSession.getActiveSession().read.parquet(f"{path}/votes").orderBy("stump").collect()
-        stumps = [DecisionTreeClassificationModel.load(f"{path}/stump-{r.stump:05d}") for r in rows]
-        return cls(stumps, [r.vote for r in rows])
+        rows = SparkSession.getActiveSession().read.parquet(path).orderBy("stump").collect()
+        stumps = [Stump(r.feature, r.threshold, r.low, r.high) for r in rows]
+        return cls(stumps, [r.vote for r in rows], rows[0].features)

@@ -60,7 +60,7 @@ def log_loss(long: DataFrame) -> DataFrame:
 
 
 def report(scored: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """(model, auc, log_loss) of each score column or blend; every row is scored once."""
+    """(model, auc, log_loss) of each score column or blend. The scores are read three times, so they should be written first."""
     long = long_scores(scored, columns)
     return auc_by_model(long).join(F.broadcast(log_loss(long)), "model")
 
@@ -88,15 +88,18 @@ def meta_coefficients(meta, names: list[str], spark) -> DataFrame:
 
 
 def gain_importance(model, columns: list[str], spark, top: int = 20) -> DataFrame:
-    """The features with the largest share of the total gain."""
-    shares = spark.createDataFrame(
-        [(n, float(v)) for n, v in zip(columns, model.featureImportances.toArray())], "feature string, gain double"
-    )
-    return shares.orderBy(F.desc("gain"), "feature").limit(top)
+    """The features with the largest mean gain of a split: (feature, gain)."""
+    gains = _splits(model, columns, spark).select("feature", F.col("mean_gain").alias("gain"))
+    return gains.orderBy(F.desc("gain"), "feature").limit(top)
 
 
 def split_importance(model, columns: list[str], spark, top: int = 20) -> DataFrame:
-    """The features split on most often, with the mean gain of those splits.
+    """The features split on most often, with the mean gain of those splits."""
+    return _splits(model, columns, spark).orderBy(F.desc("splits"), "feature").limit(top)
+
+
+def _splits(model, columns: list[str], spark) -> DataFrame:
+    """(feature, splits, mean_gain) over all trees.
 
     The saved form of a tree ensemble is a table of nodes; the counts are a query over it.
     """
@@ -111,8 +114,7 @@ def split_importance(model, columns: list[str], spark, top: int = 20) -> DataFra
         .groupBy("index")
         .agg(F.count("*").alias("splits"), F.avg("gain").alias("mean_gain"))
     )
-    named = counted.join(F.broadcast(names), "index").select("feature", "splits", "mean_gain")
-    return named.orderBy(F.desc("splits"), "feature").limit(top)
+    return counted.join(F.broadcast(names), "index").select("feature", "splits", "mean_gain")
 
 
 def submission(scored: DataFrame, *scores: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import product
 from typing import Any
 
 from pyspark.ml.classification import (
@@ -16,8 +17,8 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from refrain.learning.boosting import BoostedStumps, BoostedStumpsModel
 from refrain.learning.prepare import FEATURES, FOLD, FOLDS, LABEL, SEED, WEIGHT
@@ -69,7 +70,6 @@ PRESETS: dict[str, Preset] = {
         DecisionTreeClassifier,
         DecisionTreeClassificationModel,
         {"maxDepth": 15, "minInstancesPerNode": 5},
-        {"maxDepth": 6},
     ),
     "gbt_shallow": Preset(
         GBTClassifier,
@@ -88,44 +88,46 @@ def fit(name: str, rows: DataFrame, quick: bool = False, **changes: Any):
     return PRESETS[name].build(quick, **changes).fit(rows)
 
 
-def fit_all(rows: DataFrame, quick: bool = False) -> dict[str, Any]:
-    held = rows.persist()
-    try:
-        return {name: fit(name, held, quick) for name in PRESETS}
-    finally:
-        held.unpersist()
-
-
 def accuracy() -> Evaluator:
     return MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="accuracy")
 
 
+@dataclass(frozen=True)
+class Search:
+    """The settings tried, their mean metrics, the best setting and the model refitted with it."""
+
+    settings: list[dict[str, Any]]
+    metrics: list[float]
+    best: dict[str, Any]
+    model: Any
+
+
 def grid_search(
     name: str,
     rows: DataFrame,
     grid: dict[str, list[Any]],
     evaluator: Evaluator | None = None,
     quick: bool = False,
-    parallelism: int = 3,
-) -> CrossValidatorModel:
-    """Cross-validated search over MLlib parameters; the best setting is refitted on all rows.
+) -> Search:
+    """Cross-validated search over settings of any preset; the best one is refitted on all rows.
 
-    ``rows`` carry their fold number, so the folds do not depend on partitioning.
+    ``rows`` carry their fold number, so the folds do not depend on partitioning. Of equal
+    settings the first wins.
     """
-    shared_dir(rows.sparkSession)
-    estimator = PRESETS[name].build(quick)
-    builder = ParamGridBuilder()
-    for parameter, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(parameter), values)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=evaluator or accuracy(),
-        numFolds=FOLDS,
-        foldCol=FOLD,
-        parallelism=parallelism,
-    )
-    return search.fit(rows)
+    evaluator = evaluator or accuracy()
+    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
+    means = []
+    for setting in settings:
+        parts = [
+            evaluator.evaluate(
+                fit(name, rows.filter(F.col(FOLD) != k), quick, **setting).transform(rows.filter(F.col(FOLD) == k))
+            )
+            for k in range(FOLDS)
+        ]
+        means.append(sum(parts) / FOLDS)
+    sign = 1 if evaluator.isLargerBetter() else -1
+    best = max(range(len(settings)), key=lambda i: (sign * means[i], -i))
+    return Search(settings, means, settings[best], fit(name, rows, quick, **settings[best]))
 
 
 def fit_meta(rows: DataFrame) -> LogisticRegressionModel:

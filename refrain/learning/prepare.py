@@ -8,20 +8,34 @@ from pyspark.sql import functions as F
 
 from refrain.functions.columns import hash_share
 from refrain.operators.cleaning import SENTINEL, fill_sentinel
+from refrain.operators.ordering import exact_quantiles
 from refrain.sources.storage import stage_table
 
 LABEL, KEY, FEATURES, WEIGHT, PART, FOLD = "is_churn", "msno", "features", "weight", "part", "fold"
 HOLDOUT_SHARE, SEED, FOLDS = 0.2, 42, 3
 
 
-def stratified_split(df: DataFrame, share: float = HOLDOUT_SHARE, seed: int = SEED) -> DataFrame:
-    """Adds ``part`` ("train" / "test"): each class gives the same share of its rows.
+def split_cuts(df: DataFrame, share: float = HOLDOUT_SHARE, seed: int = SEED) -> DataFrame:
+    """(is_churn, cut): the exact quantile of the key hashes of each class, one row per class."""
+    hashes = df.filter(F.col(LABEL).isNotNull()).groupBy(
+        F.col(LABEL).alias("column"), hash_share(F.col(KEY), seed).alias("value")
+    )
+    cuts = exact_quantiles(hashes.agg(F.count("*").alias("n")), {"cut": share})
+    return cuts.select(F.col("column").alias(LABEL), "cut")
 
-    The part depends on nothing but the key's hash, so it is repeatable on any number of
-    executors, needs no shuffle and takes the share within each class up to chance.
+
+def stratified_split(
+    df: DataFrame, share: float = HOLDOUT_SHARE, seed: int = SEED, cuts: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``part`` ("train" / "test"): each class gives the same share of its rows, to one row.
+
+    The keys with the smallest hashes of each class are held out, so the split is repeatable on any
+    number of executors. ``cuts`` may bring a written ``split_cuts``. Rows without a label train.
     """
-    held_out = hash_share(F.col(KEY), seed) < share
-    return df.withColumn(PART, F.when(held_out, "test").otherwise("train"))
+    cuts = split_cuts(df, share, seed) if cuts is None else cuts
+    held_out = hash_share(F.col(KEY), seed) < F.col("cut")
+    split = df.join(F.broadcast(cuts), LABEL, "left")  # one row per class: two
+    return split.select(*df.columns, F.when(held_out, "test").otherwise("train").alias(PART))
 
 
 def with_folds(df: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
@@ -54,7 +68,8 @@ def staged_training_rows(final: DataFrame, columns: list[str]) -> DataFrame:
     The feature build is written out once; weights, every fit and every evaluation read that
     table, so losing an executor never repeats the build.
     """
-    rows = stage_table(assembled(with_folds(stratified_split(final)), columns), "training")
+    rows = stage_table(assembled(with_folds(final), columns), "training")
+    rows = stratified_split(rows, cuts=stage_table(split_cuts(rows), "cuts"))
     counts = rows.groupBy(PART, LABEL).agg(F.count("*").alias("n"))
     sizes = counts.groupBy(PART).agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
     balanced = F.col("rows") / (F.col("classes") * F.col("n"))

@@ -8,13 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MOST_BUCKETS = 256
-
 
 def _bucket_count(df: DataFrame) -> int:
-    """As many buckets as shuffle partitions, within what the search per row can afford."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(partitions, 8), MOST_BUCKETS)
+    """As many buckets as shuffle partitions."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
+
+
+def _cuts_below(cuts: str, value: Column, most: int) -> Column:
+    """How many of the sorted cuts (``most`` at the most) are below the value, by bisection."""
+    steps = [1 << i for i in reversed(range(most.bit_length()))]
+
+    def further(below: Column, step: Column) -> Column:
+        reached = below + step
+        return F.when(F.get(cuts, reached - 1) < value, reached).otherwise(below)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
 
 
 def running_totals(
@@ -32,8 +40,8 @@ def running_totals(
     shares = [i / buckets for i in range(1, buckets)]
     # Reading an amount here too lets this branch share the shuffle behind ``counts``.
     present = F.when(F.col(amounts[0]) >= 0, F.col(value))
-    cuts = counts.groupBy(group).agg(F.array_distinct(F.percentile_approx(present, shares, 1000)).alias("cuts"))
-    position = F.size(F.filter("cuts", lambda cut: cut < F.col(value)))
+    cuts = counts.groupBy(group).agg(F.percentile_approx(present, shares, 1000).alias("cuts"))
+    position = _cuts_below("cuts", F.col(value), buckets - 1)
     placed = counts.join(F.broadcast(cuts), group).withColumn("bucket", position).drop("cuts")
 
     earlier = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -65,19 +65,25 @@ def test_boosting_beats_one_stump_and_checkpoints(spark, planted):
 
 
 def test_boosting_weights_follow_the_rule(spark):
-    """Two rounds by hand: a stump at 0.5 errs on one row of four, whose weight then grows."""
+    """Two rounds by hand: the first stump errs on d alone, whose weight is then half of the total."""
     rows = spark.createDataFrame(
         [("a", 0.1, 0), ("b", 0.2, 0), ("c", 0.8, 1), ("d", 0.9, 0), ("e", 0.95, 1)], "msno string, x double, is_churn int"
     ).select("msno", "is_churn", F.lit(1.0).alias("weight"), array_to_vector(F.array("x")).alias("features"))
-    model = models.fit("adaboost", rows, rounds=1, learning_rate=1.0)
+    model = models.fit("adaboost", rows, rounds=2, learning_rate=1.0)
     assert model.votes[0] == pytest.approx(1.3862943611)  # ln((1 - 1/5) / (1/5))
+    # Weights are now 1/8 but 1/2 for d. Cutting between d and e errs on c alone, with weight 1/8.
+    second = model.stumps[1]
+    assert 0.9 <= second.threshold < 0.95 and (second.low, second.high) == (0.0, 1.0)
+    assert model.votes[1] == pytest.approx(1.9459101091)  # ln((1 - 1/8) / (1/8))
+    scored = model.transform(rows).select("msno", "prediction").collect()
+    assert {r.msno: r.prediction for r in scored} == {"a": 0, "b": 0, "c": 0, "d": 0, "e": 1}
 
 
 def test_split_is_disjoint_stable_and_stratified(spark):
     df = spark.range(20000).select(F.col("id").alias("msno"), (F.col("id") % 10 == 0).cast("int").alias("is_churn"))
     split = prepare.stratified_split(df)
     shares = split.groupBy("is_churn").agg(F.avg((F.col("part") == "test").cast("int")).alias("s")).collect()
-    assert all(abs(r.s - 0.2) < 0.03 for r in shares)
+    assert {r.is_churn: round(r.s, 9) for r in shares} == {0: 0.2, 1: 0.2}
     again = prepare.stratified_split(df.repartition(5))
     assert split.exceptAll(again).count() == 0
 
@@ -85,7 +91,14 @@ def test_split_is_disjoint_stable_and_stratified(spark):
 def test_grid_search_uses_folds(planted):
     train, _ = planted
     found = models.grid_search("decision_tree", train, {"maxDepth": [1, 4]}, quick=True)
-    assert len(found.avgMetrics) == 2 and found.bestModel.depth <= 4
+    assert len(found.metrics) == 2 and found.model.depth <= 4
+
+
+def test_grid_search_takes_boosted_stumps(planted):
+    train, _ = planted
+    found = models.grid_search("adaboost", train, {"rounds": [1, 2], "learning_rate": [0.5]})
+    assert found.settings == [{"rounds": 1, "learning_rate": 0.5}, {"rounds": 2, "learning_rate": 0.5}]
+    assert found.metrics[found.settings.index(found.best)] == max(found.metrics) > 0.8
 
 
 def test_out_of_fold_scores_cover_every_row_once(planted):
