@@ -51,8 +51,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, at most three times."""
-    counts = mixing.mix_sources(docs, keep=["doc_id"]).filter("copies > 0").select("doc_id", "copies").distinct()
-    repeated = docs.join(counts, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    counted = mixing.mix_sources(docs, keep=COLUMNS).filter("copies > 0")
+    repeated = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*COLUMNS)
 
 

@@ -403,3 +403,32 @@ def test_pipeline_stages_agree_with_plain_python(spark, small_folder, real):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({d: c for d, c in copies.items() if c})
     out = stages["tokens"](spark, mixed, folder)
     assert out.count() == mixed.count() and out.filter("NOT decodes").count() == 0
+
+
+def test_pipeline_mixes_null_ids_and_repeated_rows(spark, small_folder):
+    """Rows without an id and rows that repeat one are taken as often as the mix says, each for itself."""
+    rng = random.Random(3)
+    made = [(i % 40, f"{'w ' * rng.randrange(1, 9)}{i % 40}", "en", rng.choice("aabbbc"), 1) for i in range(90)]
+    made += [(None, f"no id {i}", "en", rng.choice("ab"), 1) for i in range(20)]
+    table = spark.createDataFrame(made, DOCS)
+    want: Counter = Counter()
+    for r in mixing.mix_sources(table).collect():
+        want[r.doc_id, r.text, r.source] += r.copies
+    got = Counter((r.doc_id, r.text, r.source) for r in corpus_pipeline.mix(spark, table, small_folder).collect())
+    assert got == +want
+    assert any(doc is None for doc, *_ in got)
+
+
+def test_pipeline_stages_take_null_ids_and_repeated_rows(docs, rows, spark, small_folder):
+    stages = dict(corpus_pipeline.STAGES)
+    table = docs.select(*corpus_pipeline.COLUMNS)
+    named = stages["language"](spark, table, small_folder)
+    letters = Counter((d, t) for d, t, *_ in rows if any(map(str.isalpha, t or "")))
+    assert Counter((r.doc_id, r.text) for r in named.collect()) == letters
+    kept = stages["near_duplicates"](spark, named, small_folder)
+    assert {(r.doc_id, r.text) for r in kept.filter("doc_id IS NULL").collect()} == {k for k in letters if k[0] is None}
+    clean = stages["secrets"](spark, named, small_folder)
+    assert Counter(r.doc_id for r in clean.collect()) == Counter(d for d, _ in letters.elements())
+    assert not any(plain_spans(r.text) for r in clean.collect())
+    tokens = stages["tokens"](spark, table, small_folder).collect()
+    assert Counter(r.doc_id for r in tokens) == Counter(d for d, *_ in rows) and all(r.decodes for r in tokens)
