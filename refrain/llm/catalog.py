@@ -13,6 +13,9 @@ from refrain.llm import (
     op8_chat_format,
     op9_exact_topk,
     op10_mixing,
+    op11_ranked_search,
+    op12_hard_negatives,
+    op13_pieces,
 )
 
 MODULES = (
@@ -26,6 +29,9 @@ MODULES = (
     op8_chat_format,
     op9_exact_topk,
     op10_mixing,
+    op11_ranked_search,
+    op12_hard_negatives,
+    op13_pieces,
 )
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
