@@ -223,21 +223,20 @@ class Model:
     def encode(self, text: bytes, size: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids with begin and end, first source byte, end of the source bytes) of each piece."""
         data, source = self.normalize(text)
-        ids: list[int] = []
+        ids: list[np.ndarray] = []
         widths: list[np.ndarray] = []
         for part in self.segments(data, size):
-            got = self.encoder.encode(part.decode())
-            ids += got
-            if self.unknown in got:
+            got = self.encoder.encode(part.decode(), return_type="numpy")
+            ids.append(got)
+            if (got == self.unknown).any():
                 found = self.encoder.encode(part.decode(), return_type="proto").pieces
                 widths.append(np.array([len(p.surface.encode()) for p in found], np.int64))
             else:
                 widths.append(self.lengths[got])
-        ends = np.cumsum(np.concatenate(widths)) if ids else np.zeros(0, np.int64)
-        places = source[np.concatenate([[0], ends]).astype(np.int64)]
+        places = source[np.cumsum(np.concatenate([[0], *widths]).astype(np.int64))]
         edge = [len(text)]
         return (
-            np.array([self.begin, *ids, self.end], np.int32),
+            np.concatenate([[self.begin], *ids, [self.end]]).astype(np.int32),
             np.concatenate([[0], places[:-1], edge]).astype(np.int32),
             np.concatenate([[0], places[1:], edge]).astype(np.int32),
         )
@@ -297,7 +296,8 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            out = [decoder.decode(ids) if ids else "" for ids in part.column("ids").to_pylist()]
+            lists = part.column("ids")
+            out = [decoder.decode(ids.values.to_numpy()) if ids.is_valid and len(ids) else "" for ids in lists]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, "decoded"])
 
 

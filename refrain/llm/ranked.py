@@ -39,8 +39,8 @@ BITS = 1 << 23
 ITEMS, ENTRIES = 1024, 1 << 16
 #: Documents of a leaf, leaves of a node above, numbers of a tree's leaf maxima.
 LEAF, FAN, MAXIMA = 16, 8, 1 << 21
-#: Items of a leaf.
-ITEM_LEAF = 8
+#: Items of a leaf; document leaves that meet it at once.
+ITEM_LEAF, AT_ONCE = 8, 32
 #: One of so many documents gives the first thresholds.
 SHARE = 64
 #: Sums up to this size are exact in double precision.
@@ -245,6 +245,7 @@ class Documents:
         ids = batch.column("doc_id")
         self.nulls = ids.is_null().to_numpy(zero_copy_only=False)[order]
         self.ids = pc.fill_null(ids, 0).to_numpy()[order]
+        self.local = np.full(len(block.weights), -1)
         leaves = -(-self.count // LEAF)
         bottom = np.zeros((len(block.weights), leaves), np.int64)
         np.maximum.at(bottom, (self.column, self.owner // LEAF), self.score)
@@ -265,9 +266,10 @@ class Documents:
         sizes = self.starts[docs + 1] - self.starts[docs]
         at = np.repeat(self.starts[docs], sizes) + ramp(sizes)
         column = self.column[at]
-        where = np.searchsorted(columns, column)
-        where[where == len(columns)] = 0
-        mine = columns[where] == column
+        self.local[columns] = np.arange(len(columns))
+        where = self.local[column]
+        self.local[columns] = -1
+        mine = where >= 0
         out = np.zeros((len(columns), len(docs)), self.kind)
         out[where[mine], np.repeat(np.arange(len(docs)), sizes)[mine]] = self.score[at[mine]]
         return out
@@ -277,7 +279,8 @@ def search_trees(docs: Documents, node: Node, depth: int, nodes: np.ndarray, lis
     """Walk both trees down from an item node and document nodes of one depth; pairs that cannot count are cut."""
     level = docs.levels[depth]
     bounds = node.maxima.astype(docs.kind) @ level[node.columns[:, None], nodes[None, :]]
-    nodes = nodes[bounds >= lists.least[node.low : node.high].min()]
+    weakest = lists.least[node.low : node.high]
+    nodes, bounds = nodes[bounds >= weakest.min()], bounds[bounds >= weakest.min()]
     if not len(nodes):
         return
     if depth + 1 < len(docs.levels):
@@ -289,11 +292,18 @@ def search_trees(docs: Documents, node: Node, depth: int, nodes: np.ndarray, lis
         for below in node.below:
             search_trees(docs, below, depth, nodes, lists)
     else:
-        found = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-        found = found[found < docs.count]
-        scores = node.counts.astype(docs.kind) @ docs.dense(node.columns, found)
-        for i in range(node.low, node.high):
-            lists.add(i, scores[i - node.low].astype(np.int64), docs.nulls[found], docs.ids[found])
+        # The most promising leaves first: what they give may cut the others.
+        order = np.argsort(-bounds, kind="stable")
+        for start in range(0, len(order), AT_ONCE):
+            part = order[start : start + AT_ONCE]
+            part = nodes[part[bounds[part] >= weakest.min()]]
+            if not len(part):
+                return
+            found = (part[:, None] * LEAF + np.arange(LEAF)).ravel()
+            found = found[found < docs.count]
+            scores = node.counts.astype(docs.kind) @ docs.dense(node.columns, found)
+            for i in range(node.low, node.high):
+                lists.add(i, scores[i - node.low].astype(np.int64), docs.nulls[found], docs.ids[found])
 
 
 def _search(batches: Iterator[pa.RecordBatch], shared, k: int, n_docs: int, n_terms: int) -> Iterator[pa.RecordBatch]:
