@@ -16,7 +16,7 @@ The compiled map is a double-array trie with a table of replacements, read as th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import cache, cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ MARK = "▁".encode()
 REPLACEMENT = "�".encode()
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE_TEXT, PIECE_KIND = 1, 3
-TRAINER_SUFFIX = 24
+TRAINER_SUFFIX, UNKNOWN_ID, BEGIN_ID, END_ID = 24, 40, 41, 42
 CHARACTER_MAP, DUMMY_PREFIX, SQUEEZE, ESCAPE = 2, 3, 4, 5
 USER_DEFINED, BYTE = 4, 6
 #: A normaliser message that changes nothing; put after a model's own, its fields replace those.
@@ -116,9 +116,10 @@ class Normalizer:
 
     def _plain(self, text: bytes) -> tuple[bytes, np.ndarray]:
         """The same for a model that replaces blanks only."""
-        width = np.ones(len(text), np.int64)
-        width[np.frombuffer(text, np.uint8) == 32] = len(self.blank)
-        source = np.repeat(np.arange(len(text)), width)
+        data = np.frombuffer(text, np.uint8)
+        # Bytes of one character come from its first byte.
+        source = np.maximum.accumulate(np.where(data & 0xC0 == 0x80, 0, np.arange(len(text))))
+        source = np.repeat(source, np.where(data == 32, len(self.blank), 1))
         before = self.blank if self.prefix and not self.suffix else b""
         after = self.blank if self.prefix and self.suffix else b""
         ends = np.full(len(after) + 1, len(text))
@@ -177,8 +178,6 @@ class Model:
     """A model file: normaliser, encoder of normalised text, decoder."""
 
     def __init__(self, raw: bytes):
-        import sentencepiece
-
         kinds, pieces, settings, trainer = [], [], {DUMMY_PREFIX: 1, SQUEEZE: 1, ESCAPE: 1}, {}
         for field, value in message(raw):
             if field == PIECES:
@@ -202,10 +201,17 @@ class Model:
         self.lengths = np.array([1 if k == BYTE else len(p) for p, k in zip(pieces, kinds)], np.int64)
         # Merges stay within "marks, then other characters" if every piece does.
         self.divisible = not own and not any(MARK in p[_marks(p) :] for p in pieces)
-        self.encoder, self.decoder = sentencepiece.SentencePieceProcessor(), sentencepiece.SentencePieceProcessor()
-        self.encoder.load_from_serialized_proto(raw + NO_NORMALIZER)
-        self.decoder.load_from_serialized_proto(raw)
-        self.begin, self.end, self.unknown = self.decoder.bos_id(), self.decoder.eos_id(), self.decoder.unk_id()
+        self.raw = raw
+        self.begin, self.end, self.unknown = (trainer.get(f, d) for f, d in ((BEGIN_ID, 1), (END_ID, 2), (UNKNOWN_ID, 0)))
+
+    @cached_property
+    def encoder(self):
+        """The library's encoder without its normaliser."""
+        return _processor(self.raw + NO_NORMALIZER)
+
+    @cached_property
+    def decoder(self):
+        return _processor(self.raw)
 
     def segments(self, data: bytes, size: int = SEGMENT) -> list[bytes]:
         """The normalised text in parts that encode on their own."""
@@ -242,6 +248,14 @@ class Model:
         )
 
 
+def _processor(raw: bytes):
+    import sentencepiece
+
+    out = sentencepiece.SentencePieceProcessor()
+    out.load_from_serialized_proto(raw)
+    return out
+
+
 def _marks(piece: bytes) -> int:
     """Bytes of the marks that a piece begins with."""
     at = 0
