@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,7 +37,38 @@ def fresh_path(spark: SparkSession, stem: str) -> str:
 
 
 def stage_table(df: DataFrame, stem: str) -> DataFrame:
-    """Write a stage once and read it back, so later jobs neither recompute nor depend on it in memory."""
+    """Write a stage once and read it back, so later jobs neither recompute nor depend on it in memory.
+
+    Once it is written, nothing reads the shuffle files behind it: Spark is told to remove them.
+    """
     path = fresh_path(df.sparkSession, stem)
-    df.write.mode("error").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside remove their shuffle files when they end, as far as this version of Spark can."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def drop_stages(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``stage_table`` gave, when nothing is going to read them any more.
+
+    Folders outside the shared one are left alone.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        root = hadoop(shared_dir(spark)).toUri().getPath()
+        folders = {hadoop(f).getParent().toString() for f in table.inputFiles()}
+        for folder in folders:
+            path = hadoop(folder)
+            if path.toUri().getPath().startswith(f"{root}/"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
