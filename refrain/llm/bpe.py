@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.llm.common import free_name, slices
+from refrain.sources.storage import stage_table
 
 #: Characters that a chunk adds to the one before it, and characters that both have.
 CHUNK = 1 << 16
@@ -135,9 +136,12 @@ def encode(
 
 
 def _encode_long(long: DataFrame, text: str, path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """The same for texts of several chunks, chunk by chunk."""
+    """The same for texts of several chunks, chunk by chunk.
+
+    The rows are written with their keys first: they are read three times and must have the same key each time.
+    """
     key = free_name(long, "row")
-    long = long.withColumn(key, F.monotonically_increasing_id())
+    long = stage_table(long.withColumn(key, F.monotonically_increasing_id()), "long-texts")
     chunks = long.select(key, text).mapInArrow(
         partial(_chunks, key=key, text=text, chunk=chunk, overlap=overlap),
         f"{key} long, chunk long, start long, last boolean, part string",
@@ -179,23 +183,24 @@ def _pieces(batches: Iterator[pa.RecordBatch], key: str, text: str) -> Iterator[
 
 
 @cache
-def _token_bytes(path: str, pattern: str) -> dict[int, bytes]:
-    encoder = encoding(path, pattern)
-    return {i: encoder.decode_single_token_bytes(i) for i in encoder._mergeable_ranks.values()}
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of each token of a rank file."""
+    with open(path, "rb") as lines:
+        return {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    encoder = encoding(path, pattern)
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    part_of = token_bytes(path).__getitem__
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            raw = [encoder.decode_bytes(ids or []) for ids in part.column("ids").to_pylist()]
+            raw = [b"".join(map(part_of, ids or [])) for ids in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], [*part.schema.names, "decoded"])
 
 
-def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """The table with ``decoded``: the raw bytes of its ``ids`` joined; null or no ids give no bytes."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "decoded")
     return encoded.drop("decoded").mapInArrow(
-        partial(_decoded, path=path or default_path(), pattern=pattern or default_pattern()), f"{kinds}, decoded binary"
+        partial(_decoded, path=path or default_path()), f"{kinds}, decoded binary"
     )

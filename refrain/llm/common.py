@@ -13,13 +13,25 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 #: Most bytes of text that an Arrow step handles at once; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Settings that bound what goes to a Python worker at once, and Spark's own values of them.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("2000", "10000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("4194304", "67108864b"),
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session to a few megabytes, unless it has settings of its own."""
+    for name, (value, default) in BATCHES.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, value)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

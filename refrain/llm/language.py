@@ -145,7 +145,7 @@ def learn(docs: DataFrame) -> Model:
     return fit(counts)
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predicted(batches: Iterator[pa.RecordBatch], shared, keep_text: bool) -> Iterator[pa.RecordBatch]:
     model = shared.value
     names = np.array([*model.languages, UNKNOWN], object)
     for batch in slices(batches, "text", 1 << 20):
@@ -157,7 +157,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
             best, score, unsure = np.zeros(len(texts), int), np.zeros(len(texts)), np.ones(len(texts), bool)
             unknown[:] = True
         best = np.where(unknown, len(model.languages), best)
-        kept = [c for c in batch.schema.names if c != "text"]
+        kept = [c for c in batch.schema.names if c != "text" or keep_text]
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in kept]
             + [pa.array(names[best], pa.string()), pa.array(np.where(unknown, 0.0, score)), pa.array(unsure | unknown)],
@@ -166,13 +166,16 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` (text may not be one) with lang_pred, score and ambiguous.
+    """The columns ``keep`` with lang_pred, score and ambiguous; columns of these names give way.
 
     A null text and one without a letter are ``und`` with score 0. Rows may repeat; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
+    keep = [c for c in keep if c not in ("lang_pred", "score", "ambiguous")]
+    keep_text = "text" in keep
+    rows = docs.select(*[c for c in keep if c != "text"], F.col("text").cast("string").alias("text"))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text" or keep_text)
     return rows.mapInArrow(
-        partial(_predicted, shared=shared), f"{kinds}lang_pred string, score double, ambiguous boolean"
+        partial(_predicted, shared=shared, keep_text=keep_text),
+        f"{kinds}lang_pred string, score double, ambiguous boolean",
     )

@@ -75,13 +75,21 @@ def mix_sources(docs: DataFrame, seed: int = 0, most: int = MOST, keep: list[str
     copies and taken (= copies * size).
 
     Null texts have no words; null is a source of its own, after all others. A source without words has
-    target 0 and gives no copies. Repeated rows are documents of their own. Reruns agree: the order is
-    (size, doc_id) and the offset comes from ``seed``. Columns of ``docs`` named like the new ones give way.
+    target 0 and gives no copies. Repeated rows are documents of their own. Reruns agree, however the rows are dealt:
+    the order is (size, lane, doc_id, hash of the row), null ids are in lanes by that hash, and the offset comes from
+    ``seed``. Columns of ``docs`` named like the new ones give way.
     """
     new = ("size", "source_size", "target", "copies", "taken")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    plain = docs.select(*[F.col(c).alias(f"_{c}") for c in keep], F.col("source"), F.col("doc_id"), n_words().alias("size"))
-    plain = plain.withColumn("lane", F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.lit(LANES)).cast("int"))
+    content = [F.col(c) for c in sorted({*keep, "doc_id", "text", "source"})]
+    plain = docs.select(
+        *[F.col(c).alias(f"_{c}") for c in keep],
+        F.col("source"),
+        F.col("doc_id"),
+        n_words().alias("size"),
+        F.xxhash64(*content, *[c.isNull() for c in content]).alias("mark"),
+    )
+    plain = plain.withColumn("lane", F.pmod(F.coalesce(F.col("doc_id").cast("long"), "mark"), F.lit(LANES)).cast("int"))
     lanes = plain.groupBy("source", "size", "lane").agg(F.count("*").alias("n"))
     by_size = lanes.groupBy("source", "size").agg(F.sum("n").alias("n_size"))
     targets = source_targets(by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n_size")).alias("source_size")), most=most)
@@ -103,10 +111,10 @@ def mix_sources(docs: DataFrame, seed: int = 0, most: int = MOST, keep: list[str
     )
     starts = (
         starts.alias("a")
-        .join(F.broadcast(targets).alias("b"), same("source"))
+        .join(targets.alias("b"), same("source"))
         .select("a.*", "source_size", "target")
     )
-    within = Window.partitionBy("source", "size", "lane").orderBy("doc_id")
+    within = Window.partitionBy("source", "size", "lane").orderBy("doc_id", "mark")
     rows = plain.withColumn("place", F.row_number().over(within))
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     at = F.col("start") + F.col("place")

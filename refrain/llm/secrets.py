@@ -77,14 +77,16 @@ _DIGITS = re.compile(r"[0-9a-f]{16}|[A-Za-z0-9+/]{40}")
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("place", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
-    for batch in slices(batches, "text"):
-        rows = [
-            [dict(zip(("start", "place", "kind", "end"), p)) for p in parts_of(t)] if t else []
-            for t in batch.column("text").to_pylist()
-        ]
+    types = {"start": pa.int32(), "place": pa.int32(), "kind": pa.string(), "end": pa.int32()}
+    for batch in slices(batches, "text", 1 << 20):
+        found, ends = [], [0]
+        for text in batch.column("text"):
+            found += parts_of(text.as_py() or "")
+            ends.append(len(found))
+        columns = [pa.array(c, t) for c, t in zip(list(zip(*found)) or [()] * len(types), types.values())]
+        parts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, list(types)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(rows, kind)], ["doc_id", "text_key", "parts"]
+            [batch.column("doc_id"), batch.column("text_key"), parts], ["doc_id", "text_key", "parts"]
         )
 
 

@@ -432,3 +432,61 @@ def test_pipeline_stages_take_null_ids_and_repeated_rows(docs, rows, spark, smal
     assert not any(plain_spans(r.text) for r in clean.collect())
     tokens = stages["tokens"](spark, table, small_folder).collect()
     assert Counter(r.doc_id for r in tokens) == Counter(d for d, *_ in rows) and all(r.decodes for r in tokens)
+
+
+def test_pipeline_keeps_one_row_of_a_group_and_all_other_texts(spark, small_folder):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    made = [(1, a), (1, a), (2, a), (3, b), (3, a), (None, c), (None, c), (None, a), (9, None), (9, None), (8, "")]
+    table = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in made], DOCS)
+    kept = corpus_pipeline.drop_near_duplicates(spark, table, small_folder)
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (3, b), (None, c), (9, None), (9, None), (8, "")])
+
+
+def test_pipeline_rejects_texts_too_short_for_a_language(spark, folder):
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    model = language.learn(table)
+    out = language.identify(table, model, ["doc_id"]).collect()
+    gone = {r.doc_id for r in out if r.lang_pred == language.UNKNOWN or r.ambiguous and r.score < corpus_pipeline.LEAST_SCORE}
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, table, folder).collect()}
+    assert kept == {r.doc_id for r in out} - gone and len(gone) <= 0.002 * len(out)
+
+
+def test_pipeline_runs_over_an_empty_table_and_a_small_one(spark, empty, docs, tmp_path):
+    columns = corpus_pipeline.COLUMNS
+    docs.limit(0).select(*columns).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    docs.select(*columns).write.parquet(f"{tmp_path}/some/documents.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert out and all(r.decodes for r in out)
+    again = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in again) == Counter((r.doc_id, r.n_tokens) for r in out)
+
+
+def test_mix_does_not_depend_on_how_rows_are_dealt(spark):
+    rng = random.Random(12)
+    made = [(None, f"{'w ' * rng.randrange(3)}t{i}", "en", rng.choice("aab"), i) for i in range(120)]
+    made += [(i % 9, f"{'w ' * rng.randrange(3)}t{i}", "en", rng.choice("aab"), i) for i in range(120)]
+    table = spark.createDataFrame(made, DOCS)
+    seen = [
+        Counter((r.doc_id, r.text, r.n_chars, r.copies) for r in mixing.mix_sources(table.repartition(n)).collect())
+        for n in (1, 3, 7)
+    ]
+    assert seen[0] == seen[1] == seen[2]
+
+
+@pytest.mark.parametrize("chunk, overlap", [(200, 40), (bpe.CHUNK, bpe.OVERLAP)])
+def test_tokens_of_rows_behind_a_shuffle(spark, chunk, overlap):
+    rng = random.Random(8)
+    size = 3 * chunk if chunk > 1_000 else 900
+    made = [(i, "".join(rng.choices("ab c1 é语\n", k=size))) for i in range(12 if chunk > 1_000 else 60)]
+    table = spark.createDataFrame(made, "doc_id long, text string")
+    marks = spark.createDataFrame([(i,) for i, _ in made], "doc_id long")
+    want = {i: bpe.encoding(bpe.default_path(), bpe.default_pattern()).encode_ordinary(t) for i, t in made}
+    behind = (
+        table.repartition(7),
+        table.join(marks.repartition(5), "doc_id"),
+        table.groupBy("doc_id").agg(F.max("text").alias("text")),
+    )
+    for rows in behind:
+        got = {r.doc_id: r.ids for r in bpe.encode(rows, chunk=chunk, overlap=overlap).collect()}
+        assert got == want
