@@ -1,10 +1,10 @@
 """Toxicity of texts behind spelling noise: a noisy-channel decoder, then a learned lexicon.
 
 * **Language model.** Counts of character triples over all texts, added up by Spark (at most 64 ** 3 numbers).
-* **Decoder.** A suspicious token (digits or signs inside a word, a letter three times or more, single letters
-  set apart) is a lattice: each place offers the letters it may stand for, at a cost. Viterbi search takes the
-  path whose letters are likeliest under the language model, less the cost. Other tokens have one path only,
-  which is the token itself.
+* **Decoder.** A suspicious token (letters with digits or signs anywhere before the next white space, a letter three
+  times or more, single letters set apart) is a lattice: each run of one character offers the letters it may
+  stand for, at a cost, however long the run. Viterbi search takes the path whose letters are likeliest under the
+  language model, less the cost. Other tokens have one path only, which is the token itself.
 * **Lexicon.** Words and word beginnings of the restored texts of a bounded sample of labelled documents; each
   weighs the lower confidence bound of its log odds between the two labels.
 * **Score.** The strongest feature of a document through a logistic curve. The curve is fitted to the sample with
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from refrain.sources.storage import stage_table
 #: Most labelled documents of each label that the lexicon is learned from (about; a hash decides).
 SAMPLE = {1: 4_000, 0: 16_000}
 #: Bytes of the word beginnings that count as features, besides whole words.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 #: Fewest toxic sample documents that must have a feature.
 SUPPORT = 2
 #: Standard errors taken off a feature's log odds.
@@ -42,18 +42,38 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 LEET |= {"@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 _SIGNS = re.escape("".join(LEET))
 _L = r"[^\W\d_]"
-#: A suspicious token; the bounds on its runs keep the search linear on very long words.
+#: Signs that may also just end a word.
+ENDINGS = "!|+"
+#: A suspicious token: letters set apart; letters and signs without white space between; a letter three times.
+#: The look-ahead parts start at the beginning of a token only, so the search is linear in its length.
 SUSPECT = re.compile(
     rf"(?<![\w])(?:{_L}[ .\-_*]){{3,}}{_L}(?![\w])"
-    rf"|[{_SIGNS}]{{0,8}}{_L}{{1,30}}(?:[{_SIGNS}]{{1,4}}{_L}{{1,30}})+"
-    rf"|{_L}{{0,30}}({_L})\1\1{_L}{{0,30}}"
+    rf"|(?<!\S)(?=[^\s{_SIGNS}]*[{_SIGNS}])(?=(?:(?!{_L})\S)*{_L})\S+"
+    rf"|(?<!\S)(?=\S*?({_L})\1\1)\S+"
 )
+#: Cost of a sign that stands for nothing.
+DROPPED = 10.0
+#: Tokens up to this length are remembered.
+REMEMBERED = 64
+# Kinds of code points below 128: 1 letters, 2 signs, 4 gaps between letters set apart, 8 white space.
+_KIND = np.zeros(128, np.uint8)
+_KIND[97:123] = 1
+_KIND[[ord(c) for c in LEET if ord(c) < 128]] |= 2
+_KIND[[ord(c) for c in " .-_*"]] |= 4
+_KIND[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] |= 8
+
+
+def kinds(code: np.ndarray) -> np.ndarray:
+    """Kinds of code points. Beyond 127 all may be letters, and those that LEET names or that are white space may be that."""
+    out = np.where(code < 128, _KIND[np.minimum(code, 127)], 1).astype(np.uint8)
+    beyond = code >= 128
+    if beyond.any():
+        out[np.isin(code, [ord(c) for c in LEET if ord(c) > 127])] |= 2
+    return out
+
+
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[97:123] = _IS_LETTER[128:] = True
-_IS_SIGN = np.zeros(256, bool)
-_IS_SIGN[[ord(c) for c in LEET if ord(c) < 128]] = True
-_IS_GAP = np.zeros(256, bool)
-_IS_GAP[[ord(c) for c in " .-_*"]] = True
 
 
 def classes(text: str) -> np.ndarray:
@@ -100,70 +120,89 @@ class Decoder:
     def restore(self, text: str) -> str:
         """The lower-cased text with suspicious tokens decoded."""
         low = text.lower()
-        raw = np.frombuffer(low.encode(), np.uint8)
-        if len(raw) < 3:
-            return low
-        if self._suspicious(raw):
+        if len(low) > 1 and suspicious(np.frombuffer(low.encode("utf-32-le"), np.uint32)):
             return SUSPECT.sub(lambda m: self.token(m[0]), low)
         return low
 
-    @staticmethod
-    def _suspicious(raw: np.ndarray) -> bool:
-        """Whether the bytes hold signs between letters, a letter three times, or four letters set apart."""
-        letter = _IS_LETTER[raw]
-        if (letter[2:] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])).any():
-            return True
-        plain = np.flatnonzero(~_IS_SIGN[raw])
-        gap = np.diff(plain)
-        if ((gap > 1) & (gap < 6) & letter[plain[:-1]] & letter[plain[1:]]).any():
-            return True
-        n, set_apart = len(raw) - 6, _IS_GAP[raw]
-        if n < 1:
-            return False
-        out = letter[:n].copy()
-        for j in range(1, 7):
-            out &= (set_apart if j % 2 else letter)[j : j + n]
-        return bool(out.any())
-
     def token(self, token: str) -> str:
+        if len(token) > REMEMBERED:
+            return self.decode(token)
         if token not in self.known:
             if len(self.known) >= 50_000:
                 self.known.clear()
-            self.known[token] = self._decode(token)
+            self.known[token] = self.decode(token)
         return self.known[token]
 
-    def _decode(self, token: str) -> str:
-        letters = [c for c in token if c.isalpha()]
-        apart = len(token) > 6 and len(letters) * 2 == len(token) + 1 and all(c.isalpha() for c in token[::2])
-        places: list[list[tuple[str, float]]] = []
-        i = 0
-        while i < len(token):
-            c, n = token[i], 1
-            while i + n < len(token) and token[i + n] == c:
-                n += 1
-            if c.isalpha():
-                places.append([(c * k, 0.5 * abs(n - k) if n < 3 else 0.5 * k) for k in ((n,) if n < 3 else (1, 2))])
-            elif c in LEET and not (apart and c in "!|+"):
-                places.append([(x, 1.0 + 0.3 * (n - 1)) for x in LEET[c]] + [("", 6.0)])
-            else:
-                places.append([("", 0.5)] if apart else [(c * n, 0.0)])
-            i += n
-        # States are the last two classes; each keeps its cheapest way.
-        best = {(0, 0): (0.0, "")}
-        for options in places:
+    def decode(self, token: str) -> str:
+        """The cheapest path through the token's lattice; of equal ones the first in letter order."""
+        # States are the last two classes; each keeps its cheapest way, as a chain of letters.
+        best: dict = {(0, 0): (0.0, None)}
+        for options in lattice(token):
             after: dict = {}
-            for (a, b), (cost, out) in best.items():
-                for letters_, price in options:
+            for (a, b), (cost, way) in best.items():
+                for letters, price, steps in options:
                     x, y, total = a, b, cost + price
-                    for k in _class_list(letters_):
+                    for k in steps:
                         total += self.costs[x, y, k]
                         x, y = y, k
                     if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = (total, out + letters_)
+                        after[x, y] = (total, (way, letters))
             best = after
-        return min((cost + self.costs[a, b, 0], out) for (a, b), (cost, out) in best.items())[1]
-
-
+        end = min(best, key=lambda s: best[s][0] + self.costs[s[0], s[1], 0])
+        out, way = [], best[end][1]
+        while way:
+            way, letters = way
+            out.append(letters)
+        return "".join(reversed(out))
+
+
+def suspicious(code: np.ndarray) -> bool:
+    """Whether lower-cased code points may hold a match of ``SUSPECT``: never false if they do."""
+    kind = kinds(code)
+    letter = kind & 1 > 0
+    if len(code) > 2 and (letter[2:] & (code[:-2] == code[1:-1]) & (code[1:-1] == code[2:])).any():
+        return True
+    signs = np.flatnonzero(kind & 2)
+    if len(signs):
+        token = np.cumsum(kind & 8 > 0)
+        if np.isin(token[signs], token[letter]).any():
+            return True
+    n = len(code) - 6
+    if n < 1:
+        return False
+    gap = kind & 4 > 0
+    out = letter[:n].copy()
+    for j in range(1, 7):
+        out &= (gap if j % 2 else letter)[j : j + n]
+    return bool(out.any())
+
+
+def lattice(token: str) -> list[list[tuple[str, float, list[int]]]]:
+    """For each run of one character what it may stand for: (letters, cost, their classes)."""
+    letters = sum(c.isalpha() for c in token)
+    apart = len(token) > 6 and letters * 2 == len(token) + 1 and all(c.isalpha() for c in token[::2])
+    # Behind the last letter, digit or other sign, the ending signs may be just that.
+    core = max((i for i, c in enumerate(token, 1) if c.isalnum() or c in LEET and c not in ENDINGS), default=0)
+    places: list[list[tuple[str, float]]] = []
+    i = 0
+    while i < len(token):
+        c, n = token[i], 1
+        while i + n < len(token) and token[i + n] == c:
+            n += 1
+        if c.isalpha():
+            places.append([(c * k, 0.5 * abs(n - k) if n < 3 else 0.5 * k) for k in ((n,) if n < 3 else (1, 2))])
+        elif c in LEET and not (apart and c in ENDINGS):
+            # However long the run, it stands for one letter.
+            at_end = i >= core
+            options = [(x, (4.0 if at_end else 1.0) + 0.3 * min(n - 1, 9)) for x in LEET[c]] + [("", DROPPED)]
+            places.append(options + [(c * n, 0.0)] if at_end else options)
+        else:
+            places.append([("", 0.5)] if apart else [(c * n, 0.0)])
+        i += n
+    return [[(x, cost, _class_list(x[:3])) for x, cost in options] for options in places]
+
+
+@lru_cache(1 << 14)
 def _class_list(letters: str) -> list[int]:
     return classes(letters).tolist() if letters else []
 
@@ -257,28 +296,42 @@ def _strengths(batches: Iterator[pa.RecordBatch], decoder: Decoder, lexicon: Lex
 
 
 def fit_curve(strength: np.ndarray, share: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of one variable by Newton steps, slightly held towards a flat curve."""
-    a, b = 0.0, 0.5
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a + b * strength, -30, 30)))
-        g, h = weight * (share - p), weight * p * (1 - p) + 1e-9
-        jac = np.array([[h.sum() + 1e-3, (h * strength).sum()], [(h * strength).sum(), (h * strength**2).sum() + 1e-2]])
-        step = np.linalg.solve(jac, [g.sum() - 1e-3 * a, (g * strength).sum() - 1e-2 * b])
-        step = np.clip(step, -2, 2)
-        a, b = a + step[0], b + step[1]
-    return float(a), float(max(b, 0.0))
+    """Logistic regression of one variable, slightly held towards a flat curve: Newton steps, halved until they help."""
+    centre = float(np.average(strength, weights=weight))
+    x = np.stack([np.ones(len(strength)), strength - centre])
+    held = np.array([1e-3, 1e-2])
+
+    def loss(c: np.ndarray) -> float:
+        z = c @ x
+        return float((weight * (np.logaddexp(0, z) - share * z)).sum() + (held * c**2).sum() / 2)
+
+    c = np.array([0.0, 0.5])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(c @ x, -500, 500)))
+        slope = x @ (weight * (share - p)) - held * c
+        step = np.linalg.solve((x * (weight * p * (1 - p))) @ x.T + np.diag(held), slope)
+        size = 1.0
+        while size > 1e-9 and loss(c + size * step) > loss(c):
+            size /= 2
+        c = c + size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
+    b = max(float(c[1]), 0.0)
+    return float(c[0]) - b * centre, b
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[Decoder, Lexicon]:
     """Decoder and lexicon from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``.
 
     The labelled sample is bounded by ``SAMPLE``, so its ids may be broadcast, and with it what is collected.
-    Labels other than 0 and 1 and null ids are not used; without any label every score is 0.5 or less.
+    Labels other than 0 and 1 and null ids are not used; an id with both labels counts as 0. Without any label
+    every score is 0.5 or less.
     """
     decoder = Decoder(learn_characters(docs))
     marks = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
-    ).dropDuplicates(["doc_id"])
+    )
+    marks = marks.groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
     there = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     spread = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30))
     rates = {t: min(1.0, SAMPLE[t] / max(there.get(t, 0), 1)) for t in SAMPLE}
@@ -330,8 +383,9 @@ def _scored(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
 
 
 def score_toxicity(docs: DataFrame, decoder: Decoder, lexicon: Lexicon, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` (text may not be one) with ``score``; null and empty texts score like one without any
-    known feature. Rows may repeat; other columns are not read."""
+    """The columns ``keep`` (without the text) with ``score``; null and empty texts score like one without any
+    known feature. Rows may repeat, ids may be null; a column named ``score`` gives way; others are not read."""
+    keep = [c for c in keep if c not in ("text", "score")]
     shared = docs.sparkSession.sparkContext.broadcast((decoder, lexicon))
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")

@@ -271,6 +271,80 @@ def test_obfuscated_words_are_restored(spark, small_folder):
     assert decoder.restore("Plain Words, 12 of them!") == "plain words, 12 of them!"
 
 
+def _characters(spark, folder):
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    words = spark.createDataFrame([(-1, "stupid idiot moron worthless trash loser fack " * 400, "en", "s", 0)], DOCS)
+    return toxicity.Decoder(toxicity.learn_characters(table.unionByName(words)))
+
+
+def test_signs_at_edges_and_in_long_runs_reach_the_decoder(spark, small_folder):
+    decoder = _characters(spark, small_folder)
+    for noisy, plain in [
+        ("1diot", "idiot"), ("5tupid", "stupid"), ("$tupid", "stupid"), ("idio7", "idiot"), ("m0000000ron", "moron"),
+        ("f@@@@@@ck", "fack"), ("f" + "@" * 500 + "ck", "fack"), ("iiiiidioooooot", "idiot"), ("(1diot!)", "(idiot!)"),
+        ("1d10t!!", "idiot!!"), ("ñññadu", "ñadu"), ("i.d.i.o.t", "idiot"),
+    ]:
+        assert decoder.restore(f"the {noisy} here") == f"the {plain} here", noisy
+    assert decoder.restore("so, stop! the end. 12 + 3 = 15") == "so, stop! the end. 12 + 3 = 15"
+    assert len(decoder.restore("a1" * 5_000 + " " + "z" * 70_000)) > 5_000
+
+
+def test_decoding_equals_all_paths(spark, small_folder):
+    """The cheapest of all ways to read a token, by listing them."""
+    decoder = _characters(spark, small_folder)
+
+    def cheapest(token):
+        ways = [(0.0, 0, 0)]
+        for options in toxicity.lattice(token):
+            after = []
+            for cost, a, b in ways:
+                for letters, price, steps in options:
+                    x, y, total = a, b, cost + price
+                    for k in steps:
+                        total += decoder.costs[x, y, k]
+                        x, y = y, k
+                    after.append((total, x, y))
+            ways = after
+        return min(cost + decoder.costs[a, b, 0] for cost, a, b in ways)
+
+    def cost_of(token, out):
+        """The least cost of the paths that spell this result."""
+        ways = [(0.0, 0, 0, "")]
+        for options in toxicity.lattice(token):
+            ways = [
+                (cost + price + sum(decoder.costs[q] for q in zip([a, b, *steps], [b, *steps], steps)), *[a, b, *steps][-2:], done + x)
+                for cost, a, b, done in ways
+                for x, price, steps in options
+                if out.startswith(done + x)
+            ]
+        return min(cost + decoder.costs[a, b, 0] for cost, a, b, done in ways if done == out)
+
+    rng = random.Random(7)
+    for _ in range(300):
+        token = "".join(rng.choices("idot1057$@!aañ.x", k=rng.randrange(2, 8)))
+        assert abs(cost_of(token, decoder.decode(token)) - cheapest(token)) < 1e-9, token
+
+
+def test_the_gate_lets_every_suspicious_text_through(spark):
+    import numpy as np
+
+    rng = random.Random(11)
+    for _ in range(20_000):
+        text = "".join(rng.choices("aabñ语 .-_*1$€\t\u3000!x", k=rng.randrange(2, 14))).lower()
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        assert toxicity.suspicious(code) or not toxicity.SUSPECT.search(text), repr(text)
+
+
+def test_toxicity_of_odd_rows(spark, docs, rows):
+    marks = spark.createDataFrame([(-4, 1), (-4, 0), (-5, 0), (None, 1), (-6, 5)], "doc_id long, toxic int")
+    table = docs.withColumns({"score": F.lit("x"), "toxic": F.lit(7)})
+    out = toxicity.score_toxicity(table, *toxicity.learn(table, marks), ["doc_id", "score", "spans"]).collect()
+    assert Counter(r.doc_id for r in out) == Counter(d for d, *_ in rows)
+    assert all(0 <= r.score <= 1 and r.spans == "y" for r in out)
+    none = marks.limit(0)
+    assert all(r.score <= 0.5 for r in toxicity.score_toxicity(table, *toxicity.learn(table, none), ["doc_id"]).collect())
+
+
 def test_toxic_words_are_learned_and_found_in_noise(spark):
     rng = random.Random(4)
     made, labels = [], []
