@@ -1,18 +1,20 @@
-"""Substring de-duplication by relative Lempel-Ziv parsing.
-
-A document is factored, left to right, into the longest phrases that the documents before it (those with a
-smaller doc_id) hold, and literal words. The reference is the whole corpus, held as an index of phrases that
-is cut into blocks by hash; each document looks its phrases up in every block that may hold one.
-
-* **Anchors.** Of each ``window`` words the ``ANCHOR``-word phrase with the smallest hash is an anchor, so
-  equal windows have equal anchors, and about a fifth of all words starts one. Anchors that only one
-  document has cannot be part of a repeated window: the index drops them, and with them most of the corpus.
-* **Reference blocks.** The windows around shared anchors make up the index: phrase -> smallest doc_id.
-* **Factors.** A window found with a smaller doc_id is part of a factor; neighbours overlap into the longest
-  ones. Windows across the boundary of two factors, which a greedy parse alone would skip, are looked up like
-  all others, so a factor of enough words is never lost at a boundary.
-
-Both joins meet on hashed phrases. Rows are a few numbers; texts are moved once, to their factors.
+"""Substring de-duplication against all smaller documents.
+
+A relative Lempel-Ziv parse factors a document, left to right, into the longest phrases that a reference holds. One
+greedy parse after the other against every block of the corpus would read each document once per block, and
+it would still miss windows that lie across the boundary of two factors. So the **parse is replaced by lookup**:
+every window of ``window`` words is looked up in an index of all windows that may repeat, cut into blocks by
+hash. What a parse against all blocks with a check of the factor boundaries finds is exactly this: the words of all
+windows that a smaller document holds; runs of them are the factors reported.
+
+* **Whole texts.** A text whose words equal those of a document with a smaller doc_id is one factor. Only the smallest
+  document of equal ones takes further part, so a large group of copies costs a row each.
+* **Anchors.** Of each window the ``ANCHOR``-word phrase with the smallest hash is an anchor, so equal windows have
+  equal anchors. Anchors that only one document has cannot be part of a repeated window and go.
+* **Index.** The windows around shared anchors: phrase -> smallest doc_id. A phrase is told by two 64-bit hashes.
+
+Both joins are plain: partial aggregates come before the shuffle, and a skewed phrase may be split. Rows are a few
+numbers; texts are moved once, to their factors.
 """
 
 from __future__ import annotations
@@ -27,14 +29,17 @@ from pyspark.sql import functions as F
 
 from refrain.llm.common import slices, text_key, texts
 from refrain.llm.words import hash_texts, mix, ramp, shingles
-from refrain.sources.storage import stage_table
+from refrain.sources.storage import drop_stages, stage_table
 
 #: Words of an anchor.
-ANCHOR = 5
+ANCHOR = 8
+
+
+_OTHER = np.uint64(0xA24BAED4963EE407)
 
 
 def _windows(hashes: np.ndarray, counts: np.ndarray, window: int):
-    """For each full window: its text, its place in the text, its hash, and its anchor's hash."""
+    """For each full window: its text, its place in the text, its two hashes, and its anchor's hash."""
     enough = counts >= window
     n = np.where(enough, counts - window + 1, 0)
     owner, at = np.repeat(np.arange(len(counts)), n), ramp(n)
@@ -46,7 +51,9 @@ def _windows(hashes: np.ndarray, counts: np.ndarray, window: int):
     for j in range(1, window - short + 1):
         np.minimum(anchor, phrases[base + j], out=anchor)
     whole, _ = _only(hashes, counts, enough, window)
-    return owner, at, whole, anchor
+    # The second hash starts from other word hashes, so it fails independently of the first.
+    second, _ = _only(mix(hashes ^ _OTHER), counts, enough, window)
+    return owner, at, (whole, second), anchor
 
 
 def _only(hashes: np.ndarray, counts: np.ndarray, enough: np.ndarray, k: int):
@@ -80,7 +87,7 @@ def _anchors(window: int):
 def _shared_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            owner, at, whole, anchor = _windows(*hash_texts(texts(batch, "text")), window)
+            owner, at, (whole, second), anchor = _windows(*hash_texts(texts(batch, "text")), window)
             lists = batch.column("anchors")
             shared = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -91,13 +98,31 @@ def _shared_windows(window: int):
             doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[owner[hit]].astype(np.int64)
             key = batch.column("text_key").to_numpy(zero_copy_only=False)[owner[hit]].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole[hit].view(np.int64)), pa.array(doc), pa.array(key), pa.array(at[hit].astype(np.int32))],
-                ["phrase", "doc_id", "text_key", "at"],
+                [pa.array(whole[hit].view(np.int64)), pa.array(second[hit].view(np.int64))]
+                + [pa.array(doc), pa.array(key), pa.array(at[hit].astype(np.int32))],
+                ["phrase", "second", "doc_id", "text_key", "at"],
             )
 
     return run
 
 
+def _identities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, key of the text, and for its words in order: their number and two hashes."""
+    for batch in slices(batches, "text"):
+        hashes, counts = hash_texts(texts(batch, "text"))
+        starts = np.cumsum(counts) - counts
+        place = ramp(counts).astype(np.uint64)
+        sums = []
+        for salt in (np.uint64(1), _OTHER):
+            total = np.zeros(len(hashes) + 1, np.uint64)
+            np.cumsum(mix(mix(hashes ^ salt) + place * _OTHER), out=total[1:])
+            sums.append(pa.array((total[starts + counts] - total[starts]).view(np.int64)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(counts), *sums],
+            ["doc_id", "text_key", "n", "k1", "k2"],
+        )
+
+
 def _runs(window: int):
     """Factors of each document as word ranges, from the starts of its found windows."""
 
@@ -114,12 +139,14 @@ def _kept(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = batch.column("found")
+            found, copies = batch.column("found"), batch.column("copy").to_pylist()
             n_words, n_removed, kept, lows, highs = [], [], [], [], []
             for row, text in enumerate(texts(batch, "text")):
                 words = text.split()
                 low, high = [], []
-                if found[row].is_valid and len(found[row]):
+                if copies[row]:
+                    low, high = [0], [len(words)]
+                elif found[row].is_valid and len(found[row]):
                     low, high = merge(np.asarray(found[row].values))
                 n_words.append(len(words))
                 n_removed.append(sum(high) - sum(low))
@@ -153,30 +180,42 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).withColumn("text_key", text_key("text"))
     known = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    anchors = known.select("doc_id", "text").mapInArrow(_anchors(window), "anchor long, doc_id long")
-    # One exchange serves the count and the lookup.
-    anchors = anchors.repartition("anchor")
+    same = ["n", "k1", "k2"]
+    marked = known.mapInArrow(_identities, "doc_id long, text_key long, n long, k1 long, k2 long")
+    marked = stage_table(marked.filter(F.col("n") >= window), "identities")
+    firsts = marked.groupBy(*same).agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    copies = marked.join(firsts.filter("rows > 1"), same).filter("doc_id > first").select("doc_id", "text_key")
+    copies = stage_table(copies.distinct(), "copies")
+    single = known.join(copies, ["doc_id", "text_key"], "left_anti")
+    anchors = stage_table(
+        single.select("doc_id", "text").mapInArrow(_anchors(window), "anchor long, doc_id long"), "anchors"
+    )
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     per_doc = (
         anchors.join(shared.filter("low < high").select("anchor"), "anchor", "left_semi")
         .groupBy("doc_id")
         .agg(F.collect_list("anchor").alias("anchors"))
     )
-    per_doc = stage_table(per_doc, "anchors")
+    per_doc = stage_table(per_doc, "shared-anchors")
+    drop_stages(anchors)
     phrases = stage_table(
-        known.join(per_doc, "doc_id").mapInArrow(
-            _shared_windows(window), "phrase long, doc_id long, text_key long, at int"
+        single.join(per_doc, "doc_id").mapInArrow(
+            _shared_windows(window), "phrase long, second long, doc_id long, text_key long, at int"
         ),
         "phrases",
     )
-    index = phrases.groupBy("phrase").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    index = phrases.groupBy("phrase", "second").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     found = (
-        phrases.join(index.filter("low < high").select("phrase", "low"), "phrase")
+        phrases.join(index.filter("low < high").select("phrase", "second", "low"), ["phrase", "second"])
         .filter("doc_id > low")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_list("at").alias("found"))
     )
-    return docs.join(stage_table(found, "factors"), ["doc_id", "text_key"], "left").drop("text_key").mapInArrow(
+    found = stage_table(found, "factors")
+    drop_stages(marked, per_doc, phrases)
+    whole = copies.withColumn("copy", F.lit(True)).withColumn("found", F.lit(None).cast("array<int>"))
+    cut = found.select("doc_id", "text_key", F.lit(False).alias("copy"), "found").unionByName(whole)
+    return docs.join(cut, ["doc_id", "text_key"], "left").drop("text_key").mapInArrow(
         _kept(window),
         "doc_id long, n_words long, n_removed long, kept_text string,"
         " factor_starts array<int>, factor_ends array<int>",
