@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from refrain.operators.ordering import exact_quantiles
 from refrain.sources.storage import stage_table
 
 LABEL, KEY, FEATURES, WEIGHT, PART, FOLD = "is_churn", "msno", "features", "weight", "part", "fold"
+#: The features with NaN where a value is missing, for models that learn where missing values go.
+RAW = "raw"
 HOLDOUT_SHARE, SEED, FOLDS = 0.2, 42, 3
 
 
@@ -56,10 +59,12 @@ def with_class_weights(df: DataFrame) -> DataFrame:
 
 
 def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Key, label and one dense vector of the columns; nulls take the sentinel first."""
-    filled = fill_sentinel(df.withColumns({c: F.col(c).cast("double") for c in columns}), columns, SENTINEL)
+    """Key, label and two vectors of the columns: in ``features`` nulls take the sentinel, in ``raw`` they are NaN."""
+    numbers = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    gaps = numbers.withColumn(RAW, array_to_vector(F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in columns])))
+    filled = fill_sentinel(gaps, columns, SENTINEL)
     kept = [c for c in (KEY, LABEL, PART, FOLD, WEIGHT) if c in df.columns]
-    return VectorAssembler(inputCols=columns, outputCol=FEATURES).transform(filled).select(*kept, FEATURES)
+    return VectorAssembler(inputCols=columns, outputCol=FEATURES).transform(filled).select(*kept, FEATURES, RAW)
 
 
 def staged_training_rows(final: DataFrame, columns: list[str]) -> DataFrame:
