@@ -239,12 +239,18 @@ def input_state(spark, folder) -> int:
     return found.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
 
 
+#: Rounds of the boosted tree presets in the catalog; their trees are grown in full. All other presets are fitted at
+#: their whole settings. A round is one pass over the table per level, and all rounds together are hours here.
+ROUNDS = {"gbt_deep": 3, "gbt_leafy": 3, "gbt_shallow": 5}
+CHANGES = {name: {"rounds": n} for name, n in ROUNDS.items()}
+
+
 def trained(spark, folder, name: str):
     """The preset fitted on the training part, from its saved form."""
     key = (spark.sparkContext.applicationId, input_state(spark, folder), name)
     if key not in _saved:
         path = fresh_path(spark, name)
-        models.save_model(models.fit(name, _parts(spark, folder)[0], quick=True), path)
+        models.save_model(models.fit(name, _parts(spark, folder)[0], **CHANGES.get(name, {})), path)
         _saved[key] = path
     return models.load_model(name, _saved[key])
 
@@ -312,10 +318,10 @@ GROUP BY model""",
 )
 def model_roundtrip(spark, folder):
     """A saved and reloaded model gives every held-out row the score it had before."""
-    train, test, _ = _parts(spark, folder)
+    _, test, _ = _parts(spark, folder)
     compared = []
     for name in ("adaboost", "gbt_shallow"):
-        model, path = models.fit(name, train, quick=True), fresh_path(spark, name)
+        model, path = trained(spark, folder, name), fresh_path(spark, name)
         models.save_model(model, path)
         both = evaluate.with_scores({"before": model, "after": models.load_model(name, path)}, test)
         compared.append(
@@ -333,7 +339,7 @@ def model_report(spark, folder):
     """AUC and log-loss of all six models and their fifteen pairwise blends."""
     _, test, _ = _parts(spark, folder)
     fitted = {name: trained(spark, folder, name) for name in models.PRESETS}
-    scored = evaluate.with_scores(fitted, test).drop(prepare.FEATURES)
+    scored = evaluate.with_scores(fitted, test).drop(prepare.FEATURES, prepare.RAW)
     return settle(evaluate.report(stage_table(scored, "scored"), evaluate.singles_and_pairs(SCORES)))
 
 
@@ -341,12 +347,14 @@ STACKED = ["gbt_deep", "gbt_leafy"]
 
 
 def _stacked(spark, folder) -> tuple[DataFrame, DataFrame]:
-    """Stacked rows: out-of-fold scores for the training part, plain ones for the held-out part."""
-    train, test, _ = _parts(spark, folder)
-    fair = evaluate.out_of_fold_scores(STACKED, train, prepare.FOLDS, quick=True)
-    plain = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, test)
-    scored = stage_table(joins.union_by_name(fair, plain).drop(prepare.FEATURES), "stacked")
-    rows = evaluate.stacked(scored, STACKED)
+    """Stacked rows: out-of-fold scores for the training part, plain ones for the held-out part. Written once a session."""
+    key = (spark.sparkContext.applicationId, input_state(spark, folder), "stacked")
+    if key not in _staged:
+        train, test, _ = _parts(spark, folder)
+        fair = evaluate.out_of_fold_scores(STACKED, train, prepare.FOLDS, CHANGES)
+        plain = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, test)
+        _staged[key] = stage_table(joins.union_by_name(fair, plain).drop(prepare.FEATURES, prepare.RAW), "stacked")
+    rows = evaluate.stacked(_staged[key], STACKED)
     return rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test")
 
 

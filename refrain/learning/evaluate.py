@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from refrain.learning import models
 from refrain.learning.prepare import FEATURES, FOLD, KEY, LABEL, PART
+from refrain.learning.trees import BoostedTreesModel
 from refrain.operators.ordering import auc_by_model
 from refrain.sources.storage import fresh_path
 
@@ -72,11 +73,16 @@ def stacked(scored: DataFrame, scores: list[str]) -> DataFrame:
     return assembler.transform(scored.drop(FEATURES)).select(*kept, *scores, FEATURES)
 
 
-def out_of_fold_scores(names: list[str], rows: DataFrame, folds: int, quick: bool = False) -> DataFrame:
-    """Scores of each row by models fitted on the other folds, so the meta-model sees no leak."""
+def out_of_fold_scores(
+    names: list[str], rows: DataFrame, folds: int, changes: dict[str, dict[str, Any]] | None = None
+) -> DataFrame:
+    """Scores of each row by models fitted on the other folds, so the meta-model sees no leak.
+
+    ``changes`` replace some settings of a model, by its name.
+    """
     parts = []
     for fold in range(folds):
-        fitted = {n: models.fit(n, rows.filter(F.col(FOLD) != fold), quick) for n in names}
+        fitted = {n: models.fit(n, rows.filter(F.col(FOLD) != fold), **(changes or {}).get(n, {})) for n in names}
         parts.append(with_scores(fitted, rows.filter(F.col(FOLD) == fold)))
     return reduce(DataFrame.unionByName, parts)
 
@@ -99,16 +105,19 @@ def split_importance(model, columns: list[str], spark, top: int = 20) -> DataFra
 
 
 def _splits(model, columns: list[str], spark) -> DataFrame:
-    """(feature, splits, mean_gain) over all trees.
+    """(feature, splits, mean_gain) over all trees, as a query over the table of their nodes.
 
-    The saved form of a tree ensemble is a table of nodes; the counts are a query over it.
+    An MLlib ensemble has that table in its saved form.
     """
-    path = fresh_path(spark, "nodes")
-    models.save_model(model, path)
     names = spark.createDataFrame(list(enumerate(columns)), "index int, feature string")
-    splits = spark.read.parquet(f"{path}/data").select(
-        F.col("nodeData.split.featureIndex").alias("index"), F.col("nodeData.gain").alias("gain")
-    )
+    if isinstance(model, BoostedTreesModel):
+        splits = model.nodes().filter("left >= 0").select(F.col("feature").alias("index"), "gain")
+    else:
+        path = fresh_path(spark, "nodes")
+        models.save_model(model, path)
+        splits = spark.read.parquet(f"{path}/data").select(
+            F.col("nodeData.split.featureIndex").alias("index"), F.col("nodeData.gain").alias("gain")
+        )
     counted = (
         splits.filter(F.col("index") >= 0)
         .groupBy("index")

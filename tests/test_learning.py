@@ -31,10 +31,21 @@ def auc(scored, name):
     return evaluate.report(scored, {name: F.col(name)}).first().auc
 
 
+#: Fewer trees and rounds than the presets have, for the time that tests take.
+SMALL = {
+    "adaboost": {"rounds": 3},
+    "random_forest": {"numTrees": 5, "maxDepth": 6},
+    "decision_tree": {},
+    "gbt_deep": {"rounds": 2, "depth": 5},
+    "gbt_leafy": {"rounds": 2, "leaves": 9},
+    "gbt_shallow": {"rounds": 3, "depth": 3},
+}
+
+
 @pytest.mark.parametrize("name", sorted(models.PRESETS))
 def test_models_find_the_signal_and_survive_saving(spark, planted, name):
     train, test = planted
-    model = models.fit(name, train, quick=True)
+    model = models.fit(name, train, **SMALL[name])
     path = fresh_path(spark, name)
     models.save_model(model, path)
     both = evaluate.with_scores({"before": model, "after": models.load_model(name, path)}, test)
@@ -44,21 +55,21 @@ def test_models_find_the_signal_and_survive_saving(spark, planted, name):
 
 def test_same_seed_same_model(planted):
     train, test = planted
-    pair = {n: models.fit("random_forest", train, quick=True) for n in ("one", "two")}
+    pair = {n: models.fit("random_forest", train, **SMALL["random_forest"]) for n in ("one", "two")}
     assert evaluate.with_scores(pair, test).filter("one <> two").count() == 0
 
 
 def test_auc_equals_the_evaluator(planted):
     train, test = planted
-    model = models.fit("gbt_leafy", train, quick=True)
-    evaluator = BinaryClassificationEvaluator(labelCol="is_churn", numBins=0)
+    model = models.fit("gbt_leafy", train, **SMALL["gbt_leafy"])
+    evaluator = BinaryClassificationEvaluator(labelCol="is_churn", rawPredictionCol="probability", numBins=0)
     expected = evaluator.evaluate(model.transform(test))
     assert auc(evaluate.with_scores({"p": model}, test), "p") == pytest.approx(expected, abs=1e-9)
 
 
 def test_boosting_beats_one_stump_and_checkpoints(spark, planted):
     train, test = planted
-    model = models.fit("adaboost", train, quick=True, rounds=12, learning_rate=1.0)
+    model = models.fit("adaboost", train, rounds=12, learning_rate=1.0)
     assert 1 <= len(model.stumps) <= 12 and len(model.votes) == len(model.stumps)
     assert shared_dir(spark) in spark.sparkContext.getCheckpointDir()
     assert model.featureImportances[0] == max(model.featureImportances)
@@ -90,7 +101,7 @@ def test_split_is_disjoint_stable_and_stratified(spark):
 
 def test_grid_search_uses_folds(planted):
     train, _ = planted
-    found = models.grid_search("decision_tree", train, {"maxDepth": [1, 4]}, quick=True)
+    found = models.grid_search("decision_tree", train, {"maxDepth": [1, 4]})
     assert len(found.metrics) == 2 and found.model.depth <= 4
 
 
@@ -101,9 +112,26 @@ def test_grid_search_takes_boosted_stumps(planted):
     assert found.metrics[found.settings.index(found.best)] == max(found.metrics) > 0.8
 
 
+def test_grid_search_gives_the_same_best_setting_at_any_width(planted):
+    """One and three fits at a time, over settings of a boosted tree preset."""
+    train, _ = planted
+    grid = {"leaves": [2, 5], "rounds": [1]}
+    one, three = (models.grid_search("gbt_leafy", train, grid, at_once=n) for n in (1, 3))
+    assert one.metrics == three.metrics and one.best == three.best
+    assert all(len(t.leaves()) == one.best["leaves"] for t in three.model.trees)
+
+
+def test_presets_have_the_settings_under_comparison():
+    whole = {n: p.build() for n, p in models.PRESETS.items()}
+    assert whole["adaboost"].rounds == 100 and whole["random_forest"].getNumTrees() == 200
+    assert (whole["gbt_deep"].rounds, whole["gbt_deep"].depth, whole["gbt_deep"].column_share) == (250, 30, 0.7)
+    assert (whole["gbt_leafy"].rounds, whole["gbt_leafy"].leaves) == (300, 127)
+    assert (whole["gbt_shallow"].rounds, whole["gbt_shallow"].depth, whole["gbt_shallow"].l2) == (1000, 6, 3.0)
+
+
 def test_out_of_fold_scores_cover_every_row_once(planted):
     train, _ = planted
-    scored = evaluate.out_of_fold_scores(["decision_tree"], train, prepare.FOLDS, quick=True)
+    scored = evaluate.out_of_fold_scores(["decision_tree"], train, prepare.FOLDS)
     assert scored.count() == scored.select("msno").distinct().count() == train.count()
     meta = models.fit_meta(evaluate.stacked(scored, ["decision_tree"]))
     assert meta.coefficients[0] > 0
@@ -116,7 +144,7 @@ def test_log_loss_is_clipped(spark):
 
 def test_importances_name_the_signal(spark, planted):
     train, _ = planted
-    model = models.fit("gbt_shallow", train, quick=True)
+    model = models.fit("gbt_shallow", train, **SMALL["gbt_shallow"])
     names = ["x0", "x1", "x2"]
     assert evaluate.gain_importance(model, names, spark).first().feature == "x0"
     by_split = evaluate.split_importance(model, names, spark).collect()
