@@ -71,6 +71,54 @@ def csv_roundtrip(spark, folder):
     return settle(back.withColumn("msno", F.col("msno").cast("bigint")))
 
 
+# The log file of the checked loads: rows as lines, some of them damaged by what they hold.
+DAMAGE = {"not 9 fields": "num_unq = 29", "no int in num_100": "num_100 = 39", "no such day in date": "num_25 = -2"}
+
+
+def _loaded_logs(spark: SparkSession, folder: str) -> files.CheckedRows:
+    """The logs written as CSV lines, damaged where ``DAMAGE`` says, and loaded with their rejects set aside."""
+    path = fresh_path(spark, "logs-lines")
+    extra, no_number, no_day = DAMAGE.values()
+    cells = {c: F.col(c).cast("string") for c in LOG_MEASURES}
+    day = F.when(F.expr(no_day), "20170231").otherwise(F.date_format("date", "yyyyMMdd"))
+    cells["num_100"] = F.when(F.expr(no_number), "many").otherwise(cells["num_100"])
+    texts = [F.coalesce(c, F.lit("")) for c in (F.col("msno").cast("string"), day, *cells.values())]
+    line = F.concat(F.concat_ws(",", *texts), F.when(F.expr(extra), ",more").otherwise(""))
+    lines = retail.user_logs(spark, folder).select(line.alias(",".join(schemas.USER_LOGS.names)))
+    # One column named like the header, written without quotes: a text file with a header line in each part.
+    lines.write.options(header=True, quote="", sep="\t").csv(path)
+    return files.load_csv(spark, path, schemas.USER_LOGS, fresh_path(spark, "logs"), days=("date",))
+
+
+@query(
+    "logs_csv",
+    with_steps(
+        {"user_logs": VIEWS["user_logs"]},
+        f"SELECT {LOGS_WITH_TEXT_DATE} FROM user_logs WHERE NOT (" + " OR ".join(DAMAGE.values()) + ")",
+    ),
+)
+def logs_csv(spark, folder):
+    """Log rows from CSV files with bad lines: those that fit, dates parsed."""
+    rows = _loaded_logs(spark, folder).rows
+    return settle(rows.withColumn("msno", F.col("msno").cast("bigint")))
+
+
+@query(
+    "logs_csv_rejects",
+    with_steps(
+        {"user_logs": VIEWS["user_logs"]},
+        "SELECT CASE "
+        + " ".join(f"WHEN {rule} THEN '{reason}'" for reason, rule in DAMAGE.items())
+        + " END AS reason, count(*) AS lines FROM user_logs WHERE "
+        + " OR ".join(DAMAGE.values())
+        + " GROUP BY reason",
+    ),
+)
+def logs_csv_rejects(spark, folder):
+    """The lines of the same files that do not fit, counted by reason."""
+    return _loaded_logs(spark, folder).rejects.groupBy("reason").agg(F.count("*").alias("lines"))
+
+
 @query("parquet_roundtrip", with_steps({"user_logs": VIEWS["user_logs"]}, f"SELECT {LOGS_WITH_TEXT_DATE} FROM user_logs"))
 def parquet_roundtrip(spark, folder):
     """Writes the logs as a folder of chunk files by month, and reads the folder as one table."""
