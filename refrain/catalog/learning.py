@@ -1,8 +1,8 @@
 """Catalog: splits, weights, metrics and blends, and the trained models.
 
-Training queries share one staged training table and one saved model of each preset per session and
-state of the input files: a model is fitted when it is first asked for and loaded afterwards. Ensembles
-are fitted with few trees or rounds; the full settings are the presets' defaults.
+Training queries share one staged training table per session, and one saved bundle of each preset per state of the
+input files: a model is fitted when it is first asked for and loaded afterwards, by later sessions too if they share
+the checkpoint folder. The boosted trees are fitted with few rounds; the full settings are the presets' defaults.
 """
 
 from __future__ import annotations
@@ -26,17 +26,16 @@ from refrain.catalog.common import (
 )
 from refrain.catalog.features import TX_DOUBLES, TX_OTHERS
 from refrain.functions.columns import hash_share
-from refrain.learning import evaluate, models, prepare
+from refrain.learning import bundles, evaluate, models, prepare
 from refrain.operators import joins
 from refrain.plans import features
 from refrain.sources import files, retail, schemas
-from refrain.sources.storage import fresh_path, stage_table
+from refrain.sources.storage import fresh_path, shared_dir, stage_table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 VIEWS = retail.DUCKDB_VIEWS
-_staged: dict[tuple[str, int], tuple[DataFrame, list[str]]] = {}
-_saved: dict[tuple[str, int, str], str] = {}
+_staged: dict[tuple, tuple | DataFrame] = {}
 #: Tables that the training rows derive from.
 SOURCES = ("customer", "orders", "lineitem", "events")
 
@@ -245,33 +244,42 @@ ROUNDS = {"gbt_deep": 3, "gbt_leafy": 3, "gbt_shallow": 5}
 CHANGES = {name: {"rounds": n} for name, n in ROUNDS.items()}
 
 
+def bundle(spark, folder, name: str) -> bundles.Bundle:
+    """The preset fitted on the training part: loaded if any session has fitted it on these files, else fitted here."""
+    root, changes, source = f"{shared_dir(spark)}/bundles", CHANGES.get(name, {}), str(input_state(spark, folder))
+    settings = {**models.PRESETS[name].settings, **changes}
+    found = bundles.find_bundle(spark, root, name, settings, source)
+    if found is None:
+        rows, columns, categories = training(spark, folder)
+        train = rows.filter(F.col("part") == "train")
+        found = bundles.fit_bundle(root, name, train, columns, categories, source, **changes)
+    return found
+
+
 def trained(spark, folder, name: str):
-    """The preset fitted on the training part, from its saved form."""
-    key = (spark.sparkContext.applicationId, input_state(spark, folder), name)
-    if key not in _saved:
-        path = fresh_path(spark, name)
-        models.save_model(models.fit(name, _parts(spark, folder)[0], **CHANGES.get(name, {})), path)
-        _saved[key] = path
-    return models.load_model(name, _saved[key])
+    return bundle(spark, folder, name).model
 
 
-def training(spark, folder) -> tuple[DataFrame, list[str]]:
+def training(spark, folder) -> tuple[DataFrame, list[str], dict[str, list[int]]]:
+    """The training rows, written once a session, their feature columns and the categories behind those."""
     key = (spark.sparkContext.applicationId, input_state(spark, folder))
     if key not in _staged:
-        final = features.final_dataset(inputs(spark, folder), "train")
+        tables = inputs(spark, folder)
+        categories = features.learn_categories(tables, "train")
+        final = features.final_dataset(tables, "train", categories)
         columns = features.feature_columns(final)
-        _staged[key] = (prepare.staged_training_rows(final, columns), columns)
+        _staged[key] = (prepare.staged_training_rows(final, columns), columns, categories)
     return _staged[key]
 
 
-def _parts(spark, folder) -> tuple[DataFrame, DataFrame, list[str]]:
-    rows, columns = training(spark, folder)
-    return rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test"), columns
+def _parts(spark, folder) -> tuple[DataFrame, DataFrame]:
+    rows, _, _ = training(spark, folder)
+    return rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test")
 
 
 def _train(name: str) -> Query:
     def run(spark, folder):
-        _, test, _ = _parts(spark, folder)
+        _, test = _parts(spark, folder)
         scored = evaluate.with_scores({name: trained(spark, folder, name)}, test)
         return settle(evaluate.report(scored, {name: F.col(name)}))
 
@@ -287,7 +295,7 @@ for _name in models.PRESETS:
 @query("grid_search")
 def grid_search(spark, folder):
     """Mean cross-validated accuracy of each depth; the best one is refitted on all folds."""
-    train, _, _ = _parts(spark, folder)
+    train, _ = _parts(spark, folder)
     depths = [3, 5]
     found = models.grid_search("decision_tree", train, {"maxDepth": depths})
     best = found.best["maxDepth"]
@@ -297,7 +305,7 @@ def grid_search(spark, folder):
 
 @query("score_model")
 def score_model(spark, folder):
-    _, test, _ = _parts(spark, folder)
+    _, test = _parts(spark, folder)
     scored = evaluate.with_scores({"score": trained(spark, folder, "decision_tree")}, test)
     return settle(scored.select("msno", "is_churn", "score"))
 
@@ -318,7 +326,7 @@ GROUP BY model""",
 )
 def model_roundtrip(spark, folder):
     """A saved and reloaded model gives every held-out row the score it had before."""
-    _, test, _ = _parts(spark, folder)
+    _, test = _parts(spark, folder)
     compared = []
     for name in ("adaboost", "gbt_shallow"):
         model, path = trained(spark, folder, name), fresh_path(spark, name)
@@ -337,7 +345,7 @@ def model_roundtrip(spark, folder):
 @query("model_report")
 def model_report(spark, folder):
     """AUC and log-loss of all six models and their fifteen pairwise blends."""
-    _, test, _ = _parts(spark, folder)
+    _, test = _parts(spark, folder)
     fitted = {name: trained(spark, folder, name) for name in models.PRESETS}
     scored = evaluate.with_scores(fitted, test).drop(prepare.FEATURES, prepare.RAW)
     return settle(evaluate.report(stage_table(scored, "scored"), evaluate.singles_and_pairs(SCORES)))
@@ -350,7 +358,7 @@ def _stacked(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Stacked rows: out-of-fold scores for the training part, plain ones for the held-out part. Written once a session."""
     key = (spark.sparkContext.applicationId, input_state(spark, folder), "stacked")
     if key not in _staged:
-        train, test, _ = _parts(spark, folder)
+        train, test = _parts(spark, folder)
         fair = evaluate.out_of_fold_scores(STACKED, train, prepare.FOLDS, CHANGES)
         plain = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, test)
         _staged[key] = stage_table(joins.union_by_name(fair, plain).drop(prepare.FEATURES, prepare.RAW), "stacked")
@@ -382,7 +390,7 @@ def train_meta_lr(spark, folder):
 @query("meta_coefficients")
 def meta_coefficients(spark, folder):
     """In-sample stacking, as the original study does it, and the weight of each base model."""
-    train, _, _ = _parts(spark, folder)
+    train, _ = _parts(spark, folder)
     scored = evaluate.with_scores({n: trained(spark, folder, n) for n in STACKED}, train)
     meta = models.fit_meta(evaluate.stacked(scored, STACKED))
     return settle(evaluate.meta_coefficients(meta, STACKED, spark))
@@ -390,24 +398,21 @@ def meta_coefficients(spark, folder):
 
 @query("importance_gain")
 def importance_gain(spark, folder):
-    _, _, columns = _parts(spark, folder)
-    return settle(evaluate.gain_importance(trained(spark, folder, "gbt_deep"), columns, spark))
+    deep = bundle(spark, folder, "gbt_deep")
+    return settle(evaluate.gain_importance(deep.model, deep.columns, spark))
 
 
 @query("importance_weight")
 def importance_weight(spark, folder):
-    _, _, columns = _parts(spark, folder)
-    return settle(evaluate.split_importance(trained(spark, folder, "gbt_deep"), columns, spark))
+    deep = bundle(spark, folder, "gbt_deep")
+    return settle(evaluate.split_importance(deep.model, deep.columns, spark))
 
 
 @query("submission")
 def submission(spark, folder):
     """Blended scores of the scoring split, written as CSV and read back."""
-    tables = inputs(spark, folder)
-    _, _, columns = _parts(spark, folder)
-    categories = features.learn_categories(tables, "train")
-    rows = prepare.assembled(features.final_dataset(tables, "test", categories), columns)
-    fitted = {n: trained(spark, folder, n) for n in STACKED}
+    fitted = [bundle(spark, folder, n) for n in STACKED]
+    scored = bundles.score_inputs(fitted, inputs(spark, folder), "test")
     path = fresh_path(spark, "submission")
-    files.write_csv(evaluate.submission(evaluate.with_scores(fitted, rows), *STACKED), path)
+    files.write_csv(evaluate.submission(scored, *STACKED), path)
     return files.read_csv(spark, path, schemas.SUBMISSION)

@@ -72,3 +72,16 @@ def drop_stages(*tables: DataFrame) -> None:
             path = hadoop(folder)
             if path.toUri().getPath().startswith(f"{root}/"):
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def finished_folders(spark: SparkSession, path: str, part: str = "") -> list[str]:
+    """Names of the folders in ``path`` that hold a finished table (in their subfolder ``part``), in order; none if
+    ``path`` does not exist. Tables left behind by a job that died carry no success mark."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    root = hadoop(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(root)]
+    mark = f"{part}/_SUCCESS" if part else "_SUCCESS"
+    return sorted(n for n in names if system.exists(hadoop(f"{path}/{n}/{mark}")))
