@@ -82,14 +82,20 @@ class Tree:
 
 
 def gains(g: np.ndarray, h: np.ndarray, n: np.ndarray, l2: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(largest gain, its bin, whether missing rows go left) for histograms with bin 0 for missing rows, by row."""
+    """(largest gain, its bin, whether missing rows go left) for histograms with bin 0 for missing rows, by row.
+
+    A side without curvature (its rows are all but certain, and nothing is penalised) has no leaf value: no split."""
     total_g, total_h, total_n = (x.sum(1, keepdims=True) for x in (g, h, n))
-    whole = total_g**2 / (total_h + l2)
+
+    def score(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return np.divide(g**2, h + l2, out=np.full(g.shape, -np.inf), where=h + l2 > 0)
+
+    whole = np.where(total_h + l2 > 0, score(total_g, total_h), 0.0)
     tried = []
     for missing in (False, True):
         left = [np.cumsum(x[:, 1:], 1) + (x[:, :1] if missing else 0) for x in (g, h, n)]
         right = [t - x for t, x in zip((total_g, total_h, total_n), left)]
-        gain = (left[0] ** 2 / (left[1] + l2) + right[0] ** 2 / (right[1] + l2) - whole) / 2
+        gain = (score(*left[:2]) + score(*right[:2]) - whole) / 2
         tried.append(np.where((left[2] >= least) & (right[2] >= least), gain, -np.inf))
     # Without missing rows both sides are equal; they go right then.
     both = np.concatenate(tried, 1)

@@ -156,3 +156,10 @@ def test_one_class_gives_no_trees(spark, planted):
     flat = np.ones_like(x)
     model = BoostedTrees(rounds=3, leaves=4).fit(table(spark, flat, np.arange(500) % 2.0))
     assert model.trees == [] and (model.margin(flat) == 0).all()
+
+
+def test_a_side_without_curvature_is_no_split():
+    g, h, n = np.array([[0.0, 3.0, -1.0, -2.0]]), np.array([[0.0, 0.0, 0.5, 0.5]]), np.array([[0, 2, 2, 2]])
+    gain, at, _ = gains(g, h, n, 0.0, 1)
+    assert at[0] == 2 and gain[0] == pytest.approx((2.0**2 / 0.5 + 2.0**2 / 0.5 - 0.0) / 2)
+    assert gains(g, np.zeros((1, 4)), n, 0.0, 1)[0][0] == -np.inf
