@@ -19,8 +19,9 @@ from refrain.catalog.common import (
     transaction_steps,
     with_steps,
 )
-from refrain.operators import onehot, profiles
-from refrain.plans import features
+from refrain.operators import joins, onehot, profiles
+from refrain.plans import features, state_store
+from refrain.sources.storage import fresh_path, stage_table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -157,6 +158,27 @@ def partial_merge(spark, folder):
     return settle(profiles.log_profile(profiles.rank_months(profiles.merge_states(parts))))
 
 
+@query("incremental_logs", with_steps(log_steps(), _log_select("log_features", True, True)))
+def incremental_logs(spark, folder):
+    """Stored month states by week of delivery: a first load with the newest week cut short and another one late, then
+    both brought up to date. Only those two weeks are folded again."""
+    tables = inputs(spark, folder)
+    # A week's rows by its Monday: copies of a row share its day, hence its chunk.
+    week = F.date_format(F.date_trunc("week", "date"), "yyyy-MM-dd")
+    logs = joins.over_members(tables.user_logs.filter("date IS NOT NULL"), tables.label("train"), lambda rows: rows)
+    logs = stage_table(logs.withColumn(state_store.CHUNK, week), "logs")
+    chunk = F.col(state_store.CHUNK)
+    ends = logs.select(F.struct(F.min(chunk).alias("late"), F.max(chunk).alias("newest"))).scalar()
+    late, newest = chunk == ends.getField("late"), chunk == ends.getField("newest")
+    path, store_path = fresh_path(spark, "chunks"), fresh_path(spark, "states")
+    store = state_store.StateStore(spark, path, store_path)
+    state_store.write_chunks(logs.filter(~late & (~newest | (F.col("num_75") < 3))), path)
+    store.refresh()
+    state_store.write_chunks(logs.filter(late | newest), path)
+    store.refresh()
+    return settle(store.profile())
+
+
 @query(
     "one_hot",
     with_steps(

@@ -85,3 +85,14 @@ def finished_folders(spark: SparkSession, path: str, part: str = "") -> list[str
     names = [status.getPath().getName() for status in system.listStatus(root)]
     mark = f"{part}/_SUCCESS" if part else "_SUCCESS"
     return sorted(n for n in names if system.exists(hadoop(f"{path}/{n}/{mark}")))
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
