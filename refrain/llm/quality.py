@@ -3,7 +3,7 @@
 Rules are found one after the other on labelled documents. A rule starts empty and grows by the condition
 ``feature >= threshold`` or ``feature <= threshold`` that gains most information on the growing part; then its
 last conditions are pruned while that raises its precision on the other part. What a rule covers is taken out
-and the next one is grown. Each step is one count by feature and bin; only those counts, a few hundred
+and the next one is grown; a rule that is not precise enough is dropped, and none begins like it again. Each step is one count by feature and bin; only those counts, a few hundred
 numbers, reach the driver. The list becomes one ordered CASE expression.
 """
 
@@ -133,7 +133,7 @@ class Condition:
         return c >= self.threshold if self.above else c < self.threshold
 
     def text(self) -> str:
-        return f"{self.feature} {'>=' if self.above else '<'} {self.threshold:.6g}"
+        return f"{self.feature} {'>=' if self.above else '<'} {self.threshold!r}"
 
 
 def holds(rule: list[Condition]) -> Column:
@@ -166,12 +166,17 @@ def learn_rules(labelled: DataFrame) -> list[list[Condition]]:
     bins = {f: _bin(f, t) for f, t in thresholds.items()}
     table = stage_table(labelled.select("good", "grow", *FEATURES, *[b.alias(f"_{f}") for f, b in bins.items()]), "labelled")
     rules: list[list[Condition]] = []
+    barred: set[tuple[str, bool]] = set()
     while len(rules) < RULES:
-        rule = _grow(table, rules, thresholds)
-        rule = _prune(table, rules, rule)
-        if not rule:
+        grown = _grow(table, rules, thresholds, barred)
+        if not grown:
             break
-        rules.append(rule)
+        rule = _prune(table, rules, grown)
+        if rule:
+            rules.append(rule)
+        else:
+            # No rule may begin that way again; the other beginnings, at most two a feature, still get their turn.
+            barred.add((grown[0].feature, grown[0].above))
     return rules
 
 
@@ -187,7 +192,8 @@ def _open(table: DataFrame, rules: list[list[Condition]]) -> DataFrame:
     return table.filter(verdict(rules)) if rules else table
 
 
-def _grow(table: DataFrame, rules: list, thresholds: dict[str, list[float]]) -> list[Condition]:
+def _grow(table: DataFrame, rules: list, thresholds: dict[str, list[float]], barred: set) -> list[Condition]:
+    """The rule that gains most, condition by condition; its first one is not ``barred`` (feature, above)."""
     rule: list[Condition] = []
     while len(rule) < CONDITIONS:
         rows = _open(table, rules).filter("grow").filter(holds(rule))
@@ -207,7 +213,7 @@ def _grow(table: DataFrame, rules: list, thresholds: dict[str, list[float]]) ->
             for b, t in enumerate(cuts):
                 low_p, low_n = low_p + cells[b][0], low_n + cells[b][1]
                 for above, p, n in ((False, low_p, low_n), (True, all_p - low_p, all_n - low_n)):
-                    if p < LEAST or p + n == all_p + all_n:
+                    if p < LEAST or p + n == all_p + all_n or (not rule and (f, above) in barred):
                         continue
                     value = p * (math.log2((p + 0.5) / (p + n + 1)) - math.log2((all_p + 0.5) / (all_p + all_n + 1)))
                     if value > gain + 1e-9:

@@ -257,6 +257,23 @@ def test_rules_find_a_planted_kind_of_poor_text(spark):
     assert all(r.kept == (r.doc_id % 4 != 0) for r in out.collect())
 
 
+def test_a_rule_that_fails_does_not_end_the_list(spark):
+    """Upper case gains most but is poor in three of five texts only; both plainly poor kinds get their rule after it."""
+    rng = random.Random(4)
+    made, labels, kinds = [], [], {}
+    for i in range(1200):
+        kind = "loud" if i % 3 == 0 else "signs" if i % 12 == 1 else "long" if i % 12 == 5 else "clean"
+        words = [f"{rng.choice('abcdefgh')}{rng.randrange(999)}x" for _ in range(rng.randrange(12, 60))]
+        change = {"loud": str.upper, "signs": lambda w: w + "***", "long": lambda w: w * 9, "clean": str}[kind]
+        made.append((i, " ".join(map(change, words))))
+        labels.append((i, int(rng.random() < 0.4) if kind == "loud" else int(kind == "clean")))
+        kinds[i] = kind
+    out = quality.judge(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    rows = out.collect()
+    assert all(r.kept == (kinds[r.doc_id] == "clean") for r in rows if kinds[r.doc_id] != "loud")
+    assert rows[0].rules.count("|") >= 1
+
+
 def test_rules_without_labels_keep_all_but_base_failures(docs, spark):
     out = quality.judge(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()
     assert all(r.kept != r.base_failed for r in out)
