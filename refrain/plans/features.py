@@ -36,11 +36,13 @@ class Inputs:
 
 
 def member_features(inputs: Inputs, split: str, cutoff: str = cleaning.CUTOFF) -> DataFrame:
-    """Label rows with age, city, channel and registration date, all gaps filled."""
-    label = inputs.label(split)
-    joined = cleaning.fill_zero_codes(joins.left_join_facts(label, inputs.members))
-    known = joins.join_facts(label, inputs.members)  # unmatched labels have nothing to average
-    return cleaning.fill_member_means(joined, known, cutoff=cutoff).drop("gender")
+    """Label rows with age, city, channel and registration date, all gaps filled.
+
+    Members hold one row per member, so no key is hot and a plain left join will do. The means are taken over the same
+    join: a label without a member has nulls there, which they skip.
+    """
+    joined = cleaning.fill_zero_codes(joins.left_join_profiles(inputs.label(split), inputs.members))
+    return cleaning.fill_member_means(joined, joined, cutoff=cutoff).drop("gender")
 
 
 def profile_transactions(rows: DataFrame) -> DataFrame:

@@ -45,6 +45,13 @@ def test_scans_read_only_needed_columns(spark, small_folder):
     assert "c_name" not in plan
 
 
+def test_members_are_read_once_for_the_rows_and_once_for_their_means(spark, small_folder):
+    tables = inputs(spark, small_folder)
+    plan = plan_of(features.member_features(tables, "train"))
+    scans = re.findall(r"\(\d+\) Scan parquet[^\n]*\nOutput \[\d+\]: \[([^\]]*)\]", plan)
+    assert len(set(scans)) == 4  # labels and members for the rows, and again for the two means, whose subquery is shared
+
+
 def test_without_broadcast_results_are_the_same(spark, small_folder):
     query = entry.queries()["final_dataset"]
     expected = sorted(map(str, query(spark, small_folder).collect()))
