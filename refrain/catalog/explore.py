@@ -52,7 +52,7 @@ def query(name: str, sql: str):
 
 def _members(spark, folder):
     tables = inputs(spark, folder)
-    return joins.left_join_facts(tables.label("train"), tables.members)
+    return joins.left_join_profiles(tables.label("train"), tables.members)
 
 
 def _payments(spark, folder):

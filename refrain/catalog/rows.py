@@ -290,7 +290,7 @@ SELECT msno, CAST(year(day) AS INT) AS year, CAST(month(day) AS INT) AS month, C
 def date_parts(spark, folder):
     tables = inputs(spark, folder)
     moment = C.parse_day(F.col("registration_init_time"))
-    return joins.left_join_facts(tables.label("train"), tables.members).select(
+    return joins.left_join_profiles(tables.label("train"), tables.members).select(
         "msno",
         F.year(moment).alias("year"),
         F.month(moment).alias("month"),
@@ -308,14 +308,14 @@ def date_parts(spark, folder):
 )
 def gender_code(spark, folder):
     tables = inputs(spark, folder)
-    joined = joins.left_join_facts(tables.label("train"), tables.members)
+    joined = joins.left_join_profiles(tables.label("train"), tables.members)
     return joined.select("msno", "gender", C.gender_code(F.col("gender")).alias("gender_number"))
 
 
 @query("left_join_members", with_steps(member_steps(), "SELECT * FROM label_members"))
 def left_join_members(spark, folder):
     tables = inputs(spark, folder)
-    return joins.left_join_facts(tables.label("train"), tables.members)
+    return joins.left_join_profiles(tables.label("train"), tables.members)
 
 
 # Log row rules

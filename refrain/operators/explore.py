@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import columns as C
 from refrain.operators import ordering
+from refrain.sources.storage import stage_table
 
 
 def _long(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -61,32 +62,29 @@ def churn_crosstab(df: DataFrame, columns: list[str], label: str = "is_churn") -
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles and max of each numeric column.
 
-    Everything follows from one table of value counts, combined before its shuffle, so no
-    column's values are ever gathered in one place. A column without values counts 0.
+    Two passes run when this is called: the first takes the moments and brackets each quartile by a
+    sketch, the second writes the value counts inside the brackets. The result ranks those alone.
+    A column without values counts 0.
     """
-    counts = ordering.value_counts(df, columns)
-    value, n = F.col("value"), F.col("n")
-    totals = counts.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        (F.sum(value * n) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    spread = F.sqrt(F.try_divide(F.sum(n * F.pow(value - F.col("mean"), F.lit(2.0))), F.max("count") - 1))
-    quartiles = ordering.exact_quantiles(
-        counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, totals, [spread.alias("std")]
-    )
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
-    known = totals.join(F.broadcast(quartiles), "column")
-    ordered = ["column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"]
-    return names.join(F.broadcast(known), "column", "left").select(*ordered)
+    quartiles, totals = _by_selection(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    ordered = ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    return totals.join(F.broadcast(quartiles), "column", "left").select(*ordered)
 
 
 def mean_and_median(df: DataFrame, column: str) -> DataFrame:
-    """(column, mean, median) of one numeric column."""
-    counts = ordering.value_counts(df, [column])
-    mean = (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean")
-    return ordering.exact_quantiles(counts, {"median": 0.5}, extra=[mean])
+    """(column, mean, median) of one numeric column; no row if it holds no value. Two passes first, as in ``describe``."""
+    medians, totals = _by_selection(df, [column], {"median": 0.5})
+    return totals.join(F.broadcast(medians), "column").select("column", "mean", "median")
+
+
+def _by_selection(df: DataFrame, columns: list[str], shares: dict[str, float]) -> tuple[DataFrame, DataFrame]:
+    """Exact quantiles (column, *shares), and the moments of every column; a row per column each."""
+    found = ordering.summaries(df, columns, list(shares.values()))
+    fields = ["column", "count", "mean", "std", "min", "max"]
+    schema = "column string, count bigint, mean double, std double, min double, max double"
+    totals = df.sparkSession.createDataFrame([[row[f] for f in fields] for row in found], schema)
+    counts = stage_table(ordering.counts_near(df, found), "quantiles")
+    return ordering.exact_quantiles(counts, shares, totals.select("column", "count")), totals
 
 
 def null_profile(df: DataFrame) -> DataFrame:

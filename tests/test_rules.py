@@ -226,6 +226,41 @@ def test_exact_quantiles_match_percentile(spark):
     assert [got.a, got.b, got.c] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("values", ["spread", "ties", "ends", "odd"])
+def test_quantiles_by_selection_match_percentile(spark, values):
+    n = 60_007
+    x = {
+        "spread": F.pow(F.pmod(F.xxhash64("id"), F.lit(10**6)), 1.7),
+        "ties": F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(20)).cast("double")),
+        "ends": F.when(F.col("id") < 50_000, float("-inf")).otherwise(F.col("id").cast("double")),
+        "odd": F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 7 == 0, float("nan")).otherwise(F.col("id") * -0.5),
+    }[values]
+    df = spark.range(n).select(x.alias("x"), F.lit(3).alias("one"), F.lit(None).cast("int").alias("none"))
+    want = one(df.agg(F.percentile("x", [0.25, 0.5, 0.75]).alias("q"))).q
+    rows = {r.column: r for r in explore.describe(df, ["x", "one", "none"]).collect()}
+    got = [rows["x"][q] for q in ("q25", "q50", "q75")]
+    if values == "ends":  # interpolation between equal infinities is the infinity
+        want = [float("-inf")] * 3
+    assert got == pytest.approx(want, nan_ok=True)
+    assert rows["one"].q50 == 3 and rows["none"]["count"] == 0 and rows["none"].q50 is None
+
+
+def test_only_values_near_a_quantile_are_counted_singly(spark):
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("x"))
+    counts = ordering.counts_near(df, ordering.summaries(df, ["x"], [0.25, 0.5]))
+    got = one(counts.agg(F.sum("n").alias("rows"), F.count("*").alias("kept"), F.count_if(~F.col("near")).alias("gaps")))
+    assert got.rows == 200_000 and got.gaps == 3 and got.kept < 2 * 200_000 * 12 / ordering.ACCURACY
+
+
+def test_cuts_do_not_depend_on_the_order_of_rows(spark):
+    counts = spark.range(3000).select(F.lit("g").alias("g"), (F.col("id") * 1.5).alias("value"), F.lit(1).alias("n"))
+    totals = [
+        ordering.running_totals(counts.repartition(parts, "value"), "g", "value", ["n"], 16) for parts in (1, 5)
+    ]
+    assert totals[0].exceptAll(totals[1]).count() == 0
+    assert one(totals[1].agg(F.max("below_n").alias("most"))).most == 2999
+
+
 def test_auc_counts_ties_half(spark):
     scored = spark.createDataFrame([("m", 0.1, 0), ("m", 0.5, 1), ("m", 0.5, 0), ("m", 0.9, 1)], "model string, score double, is_churn int")
     assert one(ordering.auc_by_model(scored)).auc == pytest.approx(3.5 / 4)
