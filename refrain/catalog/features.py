@@ -1,7 +1,12 @@
-"""Catalog: member profiles, the composite feature pipelines and the one-hot block."""
+"""Catalog: member profiles, the composite feature pipelines and the one-hot blocks."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.catalog.common import (
@@ -21,8 +26,10 @@ from refrain.catalog.common import (
 )
 from refrain.operators import joins, onehot, profiles
 from refrain.plans import features, state_store
+from refrain.sources import retail
 from refrain.sources.storage import fresh_path, stage_table
 
+VIEWS = retail.DUCKDB_VIEWS
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -199,6 +206,42 @@ def one_hot(spark, folder):
     return onehot.one_hot(kept, onehot.fit_categories(kept, features.ONE_HOT_COLUMNS))
 
 
+WIDE_COLUMNS = ["price_cents", "payment_method_id"]
+
+
+@query(
+    "one_hot_sparse",
+    with_steps(
+        {
+            "train": VIEWS["train"],
+            "transactions": VIEWS["transactions"],
+            "priced": """
+SELECT CAST(round(plan_list_price * 100) AS BIGINT) AS price_cents, payment_method_id
+FROM train JOIN transactions USING (msno)""",
+        },
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value,"
+            f' CAST(row_number() OVER (ORDER BY {c}) - 1 AS INT) AS "index", CAST(count(*) AS BIGINT) AS n'
+            f" FROM priced WHERE {c} IS NOT NULL GROUP BY {c}"
+            for c in WIDE_COLUMNS
+        ),
+    ),
+)
+def one_hot_sparse(spark, folder):
+    """Price points and payment methods of all payments as sparse vectors, read back as the sum of each vector."""
+    tables = inputs(spark, folder)
+    cents = F.round(F.col("plan_list_price") * 100).cast("bigint").alias("price_cents")
+    rows = joins.join_facts(tables.label("train"), tables.transactions).select(cents, "payment_method_id")
+    index = onehot.category_index(rows, WIDE_COLUMNS)
+    encoded = onehot.one_hot_sparse(rows, index, WIDE_COLUMNS)
+    sums = encoded.select(*[Summarizer.sum(F.col(f"{c}_vector")).alias(c) for c in WIDE_COLUMNS])
+    places = [
+        sums.select(F.lit(c).alias("column"), F.posexplode(vector_to_array(c)).alias("index", "n")) for c in WIDE_COLUMNS
+    ]
+    counted = index.join(reduce(DataFrame.unionByName, places), ["column", "index"])
+    return counted.select("column", "value", "index", F.col("n").cast("bigint").alias("n"))
+
+
 def _final_sql(split: str) -> str:
     other = [
         "msno",

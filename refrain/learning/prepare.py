@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -58,22 +60,26 @@ def with_class_weights(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(weights), LABEL)  # one row per class: two
 
 
-def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Key, label and two vectors of the columns: in ``features`` nulls take the sentinel, in ``raw`` they are NaN."""
+def assembled(df: DataFrame, columns: list[str], vectors: Sequence[str] = ()) -> DataFrame:
+    """Key, label and two vectors of the columns: in ``features`` nulls take the sentinel, in ``raw`` they are NaN.
+
+    ``vectors`` names vector columns (sparse one-hot blocks) that ``features`` takes in behind the columns. ``raw`` is
+    dense and goes without them.
+    """
     numbers = df.withColumns({c: F.col(c).cast("double") for c in columns})
     gaps = numbers.withColumn(RAW, array_to_vector(F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in columns])))
     filled = fill_sentinel(gaps, columns, SENTINEL)
     kept = [c for c in (KEY, LABEL, PART, FOLD, WEIGHT) if c in df.columns]
-    return VectorAssembler(inputCols=columns, outputCol=FEATURES).transform(filled).select(*kept, FEATURES, RAW)
+    return VectorAssembler(inputCols=[*columns, *vectors], outputCol=FEATURES).transform(filled).select(*kept, FEATURES, RAW)
 
 
-def staged_training_rows(final: DataFrame, columns: list[str]) -> DataFrame:
+def staged_training_rows(final: DataFrame, columns: list[str], vectors: Sequence[str] = ()) -> DataFrame:
     """Assembled rows of the final dataset with part, fold and (within the part) class weight.
 
     The feature build is written out once; weights, every fit and every evaluation read that
     table, so losing an executor never repeats the build.
     """
-    rows = stage_table(assembled(with_folds(final), columns), "training")
+    rows = stage_table(assembled(with_folds(final), columns, vectors), "training")
     rows = stratified_split(rows, cuts=stage_table(split_cuts(rows), "cuts"))
     counts = rows.groupBy(PART, LABEL).agg(F.count("*").alias("n"))
     sizes = counts.groupBy(PART).agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))

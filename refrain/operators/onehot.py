@@ -1,4 +1,4 @@
-"""One-hot blocks with one named column per learned category."""
+"""One-hot blocks: one named column per learned category, or a sparse vector per column for wide domains."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.operators import ordering
+from refrain.sources.storage import stage_table
+
 MAX_CATEGORIES = 1000
 
 
@@ -42,3 +45,31 @@ def one_hot_vectors(columns: list[str]) -> Pipeline:
     vectors = [f"{c}_vector" for c in columns]
     indexer = StringIndexer(inputCols=columns, outputCols=indexed, stringOrderType="alphabetAsc")
     return Pipeline(stages=[indexer, OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=False)])
+
+
+def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, index): the place of every category of numeric columns in ascending order, from 0.
+
+    The places are running totals over the distinct values, so no column's domain passes through the driver
+    or one task. The table is written once, as a fitted encoding has to be.
+    """
+    seen = ordering.value_counts(df, columns).select("column", "value", F.least("n", F.lit(1)).alias("one"))
+    ranked = ordering.running_totals(seen, "column", "value", ["one"])
+    return stage_table(ranked.select("column", "value", F.col("below_one").cast("int").alias("index")), "categories")
+
+
+def one_hot_sparse(df: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds a sparse vector ``{column}_vector`` per column, of the size the column has in ``index``.
+
+    A null or a category that was not learned gives a vector of zeros. The index meets the rows in an unhinted
+    left join: it is broadcast if its measured bytes allow it, else a frequent category is split on the side of the rows.
+    """
+    kept = df.columns
+    for c in columns:
+        place, vector = f"{c}_index", f"{c}_vector"
+        part = index.filter(F.col("column") == c).select(F.col("value").alias(f"{c}_value"), F.col("index").cast("double").alias(place))
+        encoder = OneHotEncoder(inputCol=place, outputCol=vector, handleInvalid="keep").fit(part)
+        unknown = F.lit(float(encoder.categorySizes[0]))
+        df = df.join(part, F.col(c).cast("double") == F.col(f"{c}_value"), "left").withColumn(place, F.coalesce(place, unknown))
+        df = encoder.transform(df).drop(place, f"{c}_value")
+    return df.select(*kept, *[f"{c}_vector" for c in columns])

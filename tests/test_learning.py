@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from refrain.learning import evaluate, models, prepare
+from refrain.operators import onehot
 from refrain.sources.storage import fresh_path, shared_dir
 
 
@@ -154,3 +156,31 @@ def test_importances_name_the_signal(spark, planted):
 def test_unknown_model_is_refused(planted):
     with pytest.raises(ValueError):
         models.fit("oracle", planted[0])
+
+
+def test_sparse_one_hot_reaches_the_fit(spark):
+    """6,000 categories, of which every third one churns: only the one-hot block can tell."""
+    rows = spark.range(24_000).select(
+        F.col("id").alias("msno"),
+        (F.col("id") % 6000 * 7).alias("code"),
+        F.lit(1.0).alias("constant"),
+        (F.col("id") % 3 == 0).cast("int").alias("is_churn"),
+    )
+    index = onehot.category_index(rows, ["code"])
+    places = {r.value: r["index"] for r in index.collect()}
+    assert [places[float(v * 7)] for v in (0, 1, 5999)] == [0, 1, 5999]
+    training = prepare.assembled(onehot.one_hot_sparse(rows, index, ["code"]), ["constant"], ["code_vector"])
+    first = training.filter("msno = 7").first()
+    assert first.features.size == 6001 and list(first.features.indices) == [0, 8] and first.raw.size == 1
+    model = LogisticRegression(labelCol="is_churn", maxIter=5).fit(training)
+    right = model.transform(training).filter("prediction = is_churn").count()
+    assert right == 24_000
+
+
+def test_sparse_one_hot_of_unknown_and_null_codes(spark):
+    known = spark.createDataFrame([(1,), (5,), (5,)], "code int")
+    other = spark.createDataFrame([(5, "a"), (9, "b"), (None, "c")], "code int, name string")
+    out = onehot.one_hot_sparse(other, onehot.category_index(known, ["code"]), ["code"])
+    got = {r.name: (r.code, list(r.code_vector.toArray())) for r in out.collect()}
+    assert out.columns == ["code", "name", "code_vector"]
+    assert got == {"a": (5, [0.0, 1.0]), "b": (9, [0.0, 0.0]), "c": (None, [0.0, 0.0])}
