@@ -82,17 +82,18 @@ def clean_log_rows(logs: DataFrame) -> DataFrame:
 def with_day_gap(rows: DataFrame, key: str = "msno", day: str = "date") -> DataFrame:
     """Days since the member's previous log row; 0 on the first row and on further rows of a day.
 
-    Only the first row of a day can have a gap, so the window runs over a member's distinct
-    days, bounded by the calendar, whatever the number of rows. That first row (in column
-    order) is found by a pre-aggregated minimum and met again by joining on member and day.
+    Only one row of a day can have a gap, so the window runs over a member's distinct days, bounded by
+    the calendar, whatever the number of rows. That row is the one with the day's smallest row hash: a
+    number, which a hash aggregate folds before the shuffle, and which the rows meet again by joining on
+    member and day, where a hot day can be split. Of n different rows of a day, two carry the gap only if
+    the smallest of n 64-bit hashes occurs twice. Repeated rows carry it each, so callers drop them first.
     """
-    rest = [c for c in rows.columns if c not in (key, day)]
-    whole = F.struct(*rest)
+    mark = F.xxhash64(*[c for c in rows.columns if c != key])
     previous = F.lag(day).over(Window.partitionBy(key).orderBy(day))
     days = (
         rows.groupBy(key, day)
-        .agg(F.min(whole).alias("first_row"))
+        .agg(F.min(mark).alias("carrier"))
         .withColumn("gap", F.coalesce(F.datediff(day, previous), F.lit(0)))
     )
-    gap = F.when(whole.eqNullSafe(F.col("first_row")), F.col("gap")).otherwise(0)
+    gap = F.when(mark == F.col("carrier"), F.col("gap")).otherwise(0)
     return rows.join(days, [key, day]).select(*rows.columns, gap.alias(DAY_GAP))
