@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.catalog.common import (
@@ -234,12 +229,11 @@ def one_hot_sparse(spark, folder):
     rows = joins.join_facts(tables.label("train"), tables.transactions).select(cents, "payment_method_id")
     index = onehot.category_index(rows, WIDE_COLUMNS)
     encoded = onehot.one_hot_sparse(rows, index, WIDE_COLUMNS)
-    sums = encoded.select(*[Summarizer.sum(F.col(f"{c}_vector")).alias(c) for c in WIDE_COLUMNS])
-    places = [
-        sums.select(F.lit(c).alias("column"), F.posexplode(vector_to_array(c)).alias("index", "n")) for c in WIDE_COLUMNS
-    ]
-    counted = index.join(reduce(DataFrame.unionByName, places), ["column", "index"])
-    return counted.select("column", "value", "index", F.col("n").cast("bigint").alias("n"))
+    sums = onehot.vector_sums(encoded, [f"{c}_vector" for c in WIDE_COLUMNS])
+    sums = sums.select(F.regexp_replace("vector", "_vector$", "").alias("column"), "index", "total")
+    sums = sums if index.count() <= onehot.WIDE else sums.hint("merge")
+    counted = index.join(sums, ["column", "index"], "left")
+    return counted.select("column", "value", "index", F.coalesce("total", F.lit(0.0)).cast("bigint").alias("n"))
 
 
 def _final_sql(split: str) -> str:

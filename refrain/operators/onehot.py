@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from refrain.operators import ordering
 from refrain.sources.storage import stage_table
 
 MAX_CATEGORIES = 1000
+#: An index of more categories is never broadcast.
+WIDE = 20_000
 
 
 def fit_categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[int]]:
@@ -61,15 +65,40 @@ def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
 def one_hot_sparse(df: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
     """Adds a sparse vector ``{column}_vector`` per column, of the size the column has in ``index``.
 
-    A null or a category that was not learned gives a vector of zeros. The index meets the rows in an unhinted
-    left join: it is broadcast if its measured bytes allow it, else a frequent category is split on the side of the rows.
+    A null or a category that was not learned gives a vector of zeros. The vector of a category is made once, in the
+    index; no attribute per category is kept in the schema. The index meets the rows in a left join: up to ``WIDE``
+    categories it is broadcast if its measured bytes allow it, a wider one is merged, and a frequent category is split
+    on the side of the rows.
     """
     kept = df.columns
+    sizes = {r.column: r.last + 1 for r in index.groupBy("column").agg(F.max("index").alias("last")).collect()}
     for c in columns:
-        place, vector = f"{c}_index", f"{c}_vector"
-        part = index.filter(F.col("column") == c).select(F.col("value").alias(f"{c}_value"), F.col("index").cast("double").alias(place))
-        encoder = OneHotEncoder(inputCol=place, outputCol=vector, handleInvalid="keep").fit(part)
-        unknown = F.lit(float(encoder.categorySizes[0]))
-        df = df.join(part, F.col(c).cast("double") == F.col(f"{c}_value"), "left").withColumn(place, F.coalesce(place, unknown))
-        df = encoder.transform(df).drop(place, f"{c}_value")
+        size, vector = sizes.get(c, 1), f"{c}_vector"
+        part = index.filter(F.col("column") == c).select(F.col("value").alias(f"{c}_value"), _unit(F.col("index"), size).alias(vector))
+        part = part.hint("merge") if size > WIDE else part
+        df = df.join(part, F.col(c).cast("double") == F.col(f"{c}_value"), "left")
+        found = F.coalesce(vector, _unit(None, size)).alias(vector, metadata={"ml_attr": {"num_attrs": size}})
+        df = df.select(*[k for k in df.columns if k not in (vector, f"{c}_value")], found)
     return df.select(*kept, *[f"{c}_vector" for c in columns])
+
+
+def _unit(place: Column | None, size: int) -> Column:
+    """A sparse vector with 1 at one place, or at none."""
+    at, one = (F.lit(""), "") if place is None else (place.cast("string"), "1.0")
+    told = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},"indices":['), at, F.lit(f'],"values":[{one}]}}}}'))
+    return F.from_json(told, StructType().add("v", VectorUDT()))["v"]
+
+
+def vector_sums(df: DataFrame, vectors: list[str]) -> DataFrame:
+    """(vector, index, total): the sum of each sparse vector column, one row per place that any row fills.
+
+    Places are added up on the map side and meet by place, so no task holds a whole dense vector.
+    """
+
+    def places(name: str) -> Column:
+        held = F.unwrap_udt(name)
+        pairs = F.arrays_zip(held["indices"].alias("index"), held["values"].alias("value"))
+        return F.transform(pairs, lambda p: F.struct(F.lit(name).alias("vector"), p["index"].alias("index"), p["value"].alias("value")))
+
+    long = df.select(F.inline(F.concat(*map(places, vectors))))
+    return long.groupBy("vector", "index").agg(F.sum("value").alias("total"))

@@ -184,3 +184,21 @@ def test_sparse_one_hot_of_unknown_and_null_codes(spark):
     got = {r.name: (r.code, list(r.code_vector.toArray())) for r in out.collect()}
     assert out.columns == ["code", "name", "code_vector"]
     assert got == {"a": (5, [0.0, 1.0]), "b": (9, [0.0, 0.0]), "c": (None, [0.0, 0.0])}
+
+
+def test_sparse_one_hot_keeps_no_attribute_per_category(spark):
+    rows = spark.range(3_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("code"))
+    index = onehot.category_index(rows, ["code"])
+    out = onehot.one_hot_sparse(rows, index, ["code"])
+    assert out.schema["code_vector"].metadata == {"ml_attr": {"num_attrs": 2_000}}
+    assert {r.code_vector.size for r in out.collect()} == {2_000}
+    sums = onehot.vector_sums(out.union(out), ["code_vector"])
+    assert sums.agg(F.count("*"), F.min("total"), F.max("total"), F.max("index")).first() == (2_000, 2.0, 2.0, 1_999)
+
+
+def test_sums_of_sparse_vectors_of_a_wide_merged_index(spark, monkeypatch):
+    monkeypatch.setattr(onehot, "WIDE", 1)
+    rows = spark.createDataFrame([(5, 1), (5, None), (9, 2), (None, 2)], "a int, b int")
+    out = onehot.one_hot_sparse(rows, onehot.category_index(rows, ["a", "b"]), ["a", "b"])
+    got = sorted(tuple(r) for r in onehot.vector_sums(out, ["a_vector", "b_vector"]).collect())
+    assert got == [("a_vector", 0, 2.0), ("a_vector", 1, 1.0), ("b_vector", 0, 1.0), ("b_vector", 1, 2.0)]
