@@ -62,8 +62,8 @@ def churn_crosstab(df: DataFrame, columns: list[str], label: str = "is_churn") -
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles and max of each numeric column.
 
-    Two passes run when this is called: the first takes the moments and brackets each quartile by a
-    sketch, the second writes the value counts inside the brackets. The result ranks those alone.
+    The columns are written when this is called, and two passes over them run: the first takes the moments and
+    brackets each quartile by a sketch, the second writes the value counts inside the brackets. The result ranks those alone.
     A column without values counts 0.
     """
     quartiles, totals = _by_selection(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
@@ -78,7 +78,11 @@ def mean_and_median(df: DataFrame, column: str) -> DataFrame:
 
 
 def _by_selection(df: DataFrame, columns: list[str], shares: dict[str, float]) -> tuple[DataFrame, DataFrame]:
-    """Exact quantiles (column, *shares), and the moments of every column; a row per column each."""
+    """Exact quantiles (column, *shares), and the moments of every column; a row per column each.
+
+    The columns are written once, so that a join behind them is shuffled once for both passes.
+    """
+    df = stage_table(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "selected")
     found = ordering.summaries(df, columns, list(shares.values()))
     fields = ["column", "count", "mean", "std", "min", "max"]
     schema = "column string, count bigint, mean double, std double, min double, max double"

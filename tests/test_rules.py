@@ -293,3 +293,17 @@ def test_csv_with_another_column_order_is_refused(spark, tmp_path):
     (tmp_path / "labels.csv").write_text("is_churn,msno\n1,a\n")
     with pytest.raises(Exception):
         files.read_csv(spark, str(tmp_path / "labels.csv"), schemas.LABEL).collect()
+
+
+def test_described_columns_are_computed_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5_000).select(F.col("id").cast("double").alias("a"), F.lit(1).alias("b")).mapInArrow(seen, "a double, b int")
+    rows = {r.column: r for r in explore.describe(df, ["a", "b"]).collect()}
+    assert read.value == 5_000
+    assert (rows["a"]["count"], rows["a"].q25, rows["a"].q50, rows["b"].max) == (5_000, 1249.75, 2499.5, 1.0)
