@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
+
+import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from refrain.learning import evaluate, models, prepare
+from refrain.learning.boosting import weighted_cuts
 from refrain.operators import onehot
 from refrain.sources.storage import fresh_path, shared_dir
 
@@ -92,6 +98,51 @@ def test_boosting_weights_follow_the_rule(spark):
     assert {r.msno: r.prediction for r in scored} == {"a": 0, "b": 0, "c": 0, "d": 0, "e": 1}
 
 
+def mllib_stumps(rows, rounds, rate):
+    """(feature, threshold) and vote of each round by a depth-1 tree of MLlib on the row weights of the round."""
+    out, state = [], rows.select("features", "is_churn", F.col("weight").cast("double").alias("weight"))
+    for _ in range(rounds):
+        fitted = DecisionTreeClassifier(maxDepth=1, labelCol="is_churn", weightCol="weight", seed=42).fit(state)
+        split = re.search(r"If \(feature (\d+) <= (\S+)\)", fitted.toDebugString)
+        wrong = fitted.transform(state).select(*state.columns, (F.col("prediction") != F.col("is_churn")).alias("wrong"))
+        lost, total = wrong.agg(F.sum(F.when(F.col("wrong"), F.col("weight")).otherwise(0.0)), F.sum("weight")).first()
+        vote = rate * math.log((total - lost) / lost)
+        out.append((int(split[1]), float(split[2]), vote) if split else (0, 0.0, vote))
+        grown = total + lost * (math.exp(vote) - 1)
+        factor = F.when(F.col("wrong"), math.exp(vote)).otherwise(1.0) / grown
+        state = wrong.select("features", "is_churn", (F.col("weight") * factor).alias("weight"))
+    return out
+
+
+def test_boosted_stumps_are_those_of_mllib(spark, planted):
+    """The same cuts from the same row weights, round by round, though the table is coded only once."""
+    train, _ = planted
+    model = models.fit("adaboost", train, rounds=6, learning_rate=0.1)
+    for (feature, threshold, vote), stump, got in zip(mllib_stumps(train, 6, 0.1), model.stumps, model.votes, strict=True):
+        assert (stump.feature, stump.threshold) == (feature, pytest.approx(threshold, abs=1e-12))
+        assert got == pytest.approx(vote, rel=1e-9)
+
+
+def test_a_boosting_round_is_one_pass(spark, planted):
+    """Four more rounds of stumps are four more passes, of two jobs each at most (the sums, and the cuts)."""
+    train, _ = planted
+    jobs = []
+    for rounds in (2, 6):
+        group = f"rounds-{rounds}-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, "boosting rounds")
+        assert len(models.fit("adaboost", train, rounds=rounds, learning_rate=0.1).stumps) == rounds
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 4 <= jobs[1] - jobs[0] <= 8
+
+
+def test_cuts_part_the_weights_evenly():
+    values, counts = np.arange(10.0), np.array([1, 1, 1, 1, 6, 1, 1, 1, 1, 1.0])
+    assert weighted_cuts(values, counts, 15.0, 20).tolist() == [i + 0.5 for i in range(9)]
+    assert weighted_cuts(values, counts, 15.0, 2).tolist() == [3.5, 4.5]
+    assert weighted_cuts(values[:1], counts[:1], 1.0, 31).tolist() == []
+
+
 def test_split_is_disjoint_stable_and_stratified(spark):
     df = spark.range(20000).select(F.col("id").alias("msno"), (F.col("id") % 10 == 0).cast("int").alias("is_churn"))
     split = prepare.stratified_split(df)
