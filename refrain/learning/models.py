@@ -49,7 +49,15 @@ PRESETS: dict[str, Preset] = {
     "random_forest": Preset(
         RandomForestClassifier,
         RandomForestClassificationModel,
-        {"numTrees": 200, "maxDepth": 15, "featureSubsetStrategy": "sqrt", "minInstancesPerNode": 3},
+        # Each row keeps its node in every tree, so a level costs one step of each tree and not the way from the root.
+        {
+            "numTrees": 200,
+            "maxDepth": 15,
+            "featureSubsetStrategy": "sqrt",
+            "minInstancesPerNode": 3,
+            "cacheNodeIds": True,
+            "checkpointInterval": 10,
+        },
     ),
     "gbt_deep": Preset(
         BoostedTrees,

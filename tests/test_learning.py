@@ -136,6 +136,14 @@ def test_a_boosting_round_is_one_pass(spark, planted):
     assert 4 <= jobs[1] - jobs[0] <= 8
 
 
+def test_the_forest_keeps_each_rows_nodes(spark, planted):
+    """Rows keep their node of every tree between levels, checkpointed in the shared folder; the trees stay the same."""
+    train, test = planted
+    assert models.PRESETS["random_forest"].build().getCacheNodeIds()
+    forests = {n: models.fit("random_forest", train, numTrees=4, maxDepth=12, cacheNodeIds=n == "kept") for n in ("kept", "walked")}
+    assert evaluate.with_scores(forests, test).filter("kept <> walked").count() == 0
+
+
 def test_cuts_part_the_weights_evenly():
     values, counts = np.arange(10.0), np.array([1, 1, 1, 1, 6, 1, 1, 1, 1, 1.0])
     assert weighted_cuts(values, counts, 15.0, 20).tolist() == [i + 0.5 for i in range(9)]
