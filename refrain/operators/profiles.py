@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from refrain.functions import columns as C
+from refrain.operators import cleaning
 from refrain.sources.schemas import DAY_GAP, LOG_MEASURES
 
 MONTHS_KEPT = 3
 MEAN_MEASURES = [*LOG_MEASURES, DAY_GAP]
+#: Parts that a member's payments are dealt to by date.
+DAY_PARTS = 16
 
 # Output column -> input column of the transaction profile.
 TRANSACTION_MEANS = {
@@ -55,38 +59,40 @@ def most_frequent(rows: DataFrame, key: str, value: str, name: str) -> DataFrame
 
 
 def transaction_profile(rows: DataFrame) -> DataFrame:
-    """One row per member over distinct transaction rows from ``with_transaction_columns``.
+    """One row per member over distinct raw transaction rows.
 
-    Distinct dates and the most frequent method need two different groupings; both are taken
-    from one pass by grouping sets, and a second, small aggregate folds them per member.
+    Distinct dates and the most frequent method need two different groupings. A member's rows are dealt to
+    ``DAY_PARTS`` parts by date: a part counts its own days and leaves one state, so what is brought together per
+    member is a few states, not one per day. Methods are counted apart, in rows of their own that carry nothing else.
     """
     means, sums = TRANSACTION_MEANS, TRANSACTION_SUMS
-    sets = [["msno", "transaction_date"], ["msno", "payment_method_id"]]
-    states = (
-        rows.filter(F.col("msno").isNotNull())
-        .groupingSets(sets, "msno", "transaction_date", "payment_method_id")
-        .agg(
-            F.grouping("payment_method_id").alias("by_day"),
-            F.count("payment_method_id").alias("method_rows"),
-            *[F.sum(c).alias(f"sum_{c}") for c in [*means.values(), *sums.values()]],
-            *[F.count(c).alias(f"known_{c}") for c in means.values()],
-        )
+    measures = [*means.values(), *sums.values()]
+    known = rows.filter(F.col("msno").isNotNull())
+    part = F.pmod(F.xxhash64(C.parse_day(F.col("transaction_date"))), F.lit(DAY_PARTS))
+    dealt = cleaning.with_transaction_columns(known.withColumn("part", part).repartition("msno", "part"))
+    days = dealt.groupBy("msno", "part", "transaction_date").agg(
+        *[F.sum(c).alias(f"sum_{c}") for c in measures],
+        *[F.count(c).alias(f"known_{c}") for c in means.values()],
     )
-    by_day = F.col("by_day") == 1
-
-    def total(column: str):
-        return F.sum(F.when(by_day, F.col(column)))
-
-    method = F.col("payment_method_id")
-    usable = ~by_day & method.isNotNull()
-    profile = states.groupBy("msno").agg(
-        *[F.try_divide(total(f"sum_{c}"), total(f"known_{c}")).alias(name) for name, c in means.items()],
-        *[F.coalesce(total(f"sum_{c}"), F.lit(0)).alias(name) for name, c in sums.items()],
-        F.max_by(method, F.when(usable, F.struct("method_rows", -method))).alias("most_freq_payment_method"),
-        F.count(F.when(by_day, F.col("transaction_date"))).alias("amount_transactions"),
+    parts = days.groupBy("msno", "part").agg(
+        *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in measures],
+        *[F.sum(f"known_{c}").alias(f"known_{c}") for c in means.values()],
+        F.count("transaction_date").alias("days"),
         F.min("transaction_date").alias("first_transaction"),
         F.max("transaction_date").alias("last_transaction"),
     )
+    # No filter on the method here: it would sink below the removal of duplicates and let its shuffle run twice.
+    methods = known.groupBy("msno", "payment_method_id").agg(F.count("payment_method_id").alias("method_rows"))
+    states = parts.drop("part").unionByName(methods, allowMissingColumns=True)
+    method = F.col("payment_method_id")
+    profile = states.groupBy("msno").agg(
+        *[F.try_divide(F.sum(f"sum_{c}"), F.sum(f"known_{c}")).alias(name) for name, c in means.items()],
+        *[F.coalesce(F.sum(f"sum_{c}"), F.lit(0)).alias(name) for name, c in sums.items()],
+        F.max_by(method, F.when(method.isNotNull(), F.struct("method_rows", -method))).alias("most_freq_payment_method"),
+        F.sum("days").alias("amount_transactions"),
+        F.min("first_transaction").alias("first_transaction"),
+        F.max("last_transaction").alias("last_transaction"),
+    )
     return profile.select("msno", *TRANSACTION_PROFILE[:-1], autorenew_share().alias("percent_of_autorenew"))
 
 

@@ -46,8 +46,7 @@ def member_features(inputs: Inputs, split: str, cutoff: str = cleaning.CUTOFF) -
 
 
 def profile_transactions(rows: DataFrame) -> DataFrame:
-    distinct = cleaning.drop_duplicate_rows(rows)
-    return profiles.transaction_profile(cleaning.with_transaction_columns(distinct))
+    return profiles.transaction_profile(cleaning.drop_duplicate_rows(rows))
 
 
 def profile_logs(rows: DataFrame) -> DataFrame:

@@ -61,3 +61,11 @@ def test_without_broadcast_results_are_the_same(spark, small_folder):
         assert sorted(map(str, query(spark, small_folder).collect())) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_payments_are_not_doubled_for_their_two_groupings(spark, small_folder):
+    """Days and methods are counted from the same distinct rows, which go on by member and part of the days."""
+    plan = plan_of(features.transaction_features(inputs(spark, small_folder), "train"))
+    assert "Expand" not in plan
+    keys = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
+    assert any(re.fullmatch(r"msno#\d+L?, part#\d+L?", k) for k in keys)

@@ -69,3 +69,43 @@ def test_no_task_of_the_member_shuffle_sees_raw_rows(hot_logs):
     states = profiles.month_states(cleaning.clean_log_rows(hot_logs))
     most = states.groupBy("msno").count().agg(F.max("count")).first()[0]
     assert most <= 7 and hot_logs.filter("msno = 'hot'").count() > 10000
+
+
+def test_transaction_profile_with_a_hot_member(spark):
+    """Half of the payments are one member's, copies and days that do not parse among them."""
+    share = F.pmod(F.xxhash64("id"), F.lit(500)).cast("int")
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(1 + share % 30).alias("msno"),
+        F.when(share % 9 > 0, share % 4).alias("payment_method_id"),
+        F.when(share % 11 > 0, share % 31).alias("payment_plan_days"),
+        F.when(share % 13 > 0, share / 4).alias("plan_list_price"),
+        (share / 5).alias("actual_amount_paid"),
+        (share % 2).alias("is_auto_renew"),
+        F.when(share % 17 == 0, 20171345).otherwise(20170101 + share % 28).alias("transaction_date"),
+        F.lit(20170301).alias("membership_expire_date"),
+        (share % 3 % 2).alias("is_cancel"),
+    )
+    rows = rows.unionByName(rows.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("col"))
+    pdf = rows.toPandas().drop_duplicates()
+    pdf["day"] = pd.to_datetime(pdf["transaction_date"], format="%Y%m%d", errors="coerce")
+    groups = pdf.groupby("msno")
+    counts = pdf.dropna(subset="payment_method_id").groupby(["msno", "payment_method_id"]).size().rename("n").reset_index()
+    best = counts.sort_values(["n", "payment_method_id"], ascending=[False, True]).groupby("msno")["payment_method_id"].first()
+    expected = pd.concat(
+        [
+            groups["payment_plan_days"].mean().rename("payment_plan_days_mean"),
+            groups["plan_list_price"].mean().rename("plan_list_price_mean"),
+            groups["actual_amount_paid"].mean().rename("actual_amount_paid_mean"),
+            best.rename("most_freq_payment_method"),
+            groups["is_cancel"].sum().rename("amount_cancels"),
+            groups["is_auto_renew"].sum().rename("total_autorenew"),
+            groups["day"].nunique().rename("amount_transactions"),
+        ],
+        axis=1,
+    )
+    got = features.profile_transactions(rows).toPandas().set_index("msno")
+    pd.testing.assert_frame_equal(
+        got.loc[expected.index, list(expected.columns)].astype(float), expected.astype(float), rtol=1e-9, check_index_type=False
+    )
+    assert (got["first_transaction"].loc[expected.index].dt.date == groups["day"].min().dt.date).all()
+    assert (got["last_transaction"].loc[expected.index].dt.date == groups["day"].max().dt.date).all()
