@@ -261,3 +261,43 @@ def test_sums_of_sparse_vectors_of_a_wide_merged_index(spark, monkeypatch):
     out = onehot.one_hot_sparse(rows, onehot.category_index(rows, ["a", "b"]), ["a", "b"])
     got = sorted(tuple(r) for r in onehot.vector_sums(out, ["a_vector", "b_vector"]).collect())
     assert got == [("a_vector", 0, 2.0), ("a_vector", 1, 1.0), ("b_vector", 0, 1.0), ("b_vector", 1, 2.0)]
+
+
+def test_report_fits_side_by_side_and_as_alone(spark, folder, monkeypatch):
+    """Fits overlap, each preset is fitted once, and a model comes under its own name."""
+    import threading
+
+    from refrain.catalog import learning
+
+    at_once, most, lock, met = [], [], threading.Lock(), threading.Barrier(2, timeout=60)
+
+    def fit(session, where, name):
+        with lock:
+            at_once.append(name)
+            most.append(len(at_once))
+        if name in learning.LONGEST_FIRST[:2]:
+            met.wait()
+        # A model's nodes are tables, which a thread without a session of its own could not make.
+        assert type(session).active() is not None
+        with lock:
+            at_once.remove(name)
+        return f"model of {name}"
+
+    monkeypatch.setattr(learning, "training", lambda *_: None)
+    monkeypatch.setattr(learning, "trained", fit)
+    found = learning.all_trained(spark, folder)
+    assert found == {name: f"model of {name}" for name in models.PRESETS} and list(found) == list(models.PRESETS)
+    assert max(most) >= 2
+
+
+def test_shuffle_setting_survives_stages_written_at_the_same_time(spark):
+    from refrain.sources import storage
+
+    before = spark.conf.get(storage.SHUFFLE_CLEANUP, "false")
+    first, second = storage.shuffles_removed(spark), storage.shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(storage.SHUFFLE_CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(storage.SHUFFLE_CLEANUP) == before
